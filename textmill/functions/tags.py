@@ -70,16 +70,25 @@ def entity_type(tag: Column) -> Column:
     return F.substring(tag, 3, 2**30)
 
 
+def after_previous(items: Column, first: str) -> Column:
+    """Pairs (before, item); `first` stands before the first item."""
+    # Shifting and zipping stays linear. Indexing into `items` from inside a lambda would
+    # build the list anew for every element wherever the optimizer inlines it.
+    n = F.greatest(F.size(items) - 1, F.lit(0))
+    shifted = F.concat(F.array(F.lit(first)), F.slice(items, F.lit(1), n))
+    pairs = F.zip_with(
+        shifted, items, lambda before, item: F.struct(before.alias("before"), item.alias("item"))
+    )
+    # An empty list would still pair `first` with nothing.
+    return F.slice(pairs, F.lit(1), F.size(items))
+
+
 def bad_transition(tags: Column) -> Column:
-    """True if some `I-X` does not follow `B-X` or `I-X`."""
+    """True if some `I-X` does not follow `B-X` or `I-X`; NULL for a missing list."""
 
-    def breaks(i: Column) -> Column:
-        tag = F.get(tags, i)
-        before = F.coalesce(F.get(tags, i - 1), F.lit("O"))
+    def breaks(pair: Column) -> Column:
+        before, tag = F.coalesce(pair["before"], F.lit("O")), pair["item"]
         continues = before.rlike("^[BI]-") & (entity_type(before) == entity_type(tag))
-        return tag.startswith("I-") & ~continues
+        return F.coalesce(tag.startswith("I-") & ~continues, F.lit(False))
 
-    positions = F.when(
-        F.size(tags) > 0, F.sequence(F.lit(0), F.size(tags) - 1)
-    ).otherwise(F.array().cast("array<int>"))
-    return F.exists(positions, breaks)
+    return F.exists(after_previous(tags, "O"), breaks)

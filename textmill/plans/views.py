@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textmill.functions.tags import after_previous
 from textmill.sources.records import load_table
 from textmill.spec import CONFIRMATION, ENTITIES, QUESTION
 
@@ -21,9 +22,13 @@ LONE_RECORDS = 6
 CUT_OFF_CHARS = 12_000
 
 
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_table(spark, sf_dir, "documents", spread_by="doc_id")
+
+
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`(task, ord, text, label)`; toxic documents and system turns have foreign labels."""
-    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
     labels = load_table(spark, sf_dir, "labels")
     label = (
         F.when(F.col("toxic") == 1, "Unsure")
@@ -42,7 +47,7 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("role") == "assistant", "Statement")
         .otherwise(F.col("role"))
     )
-    return load_table(spark, sf_dir, "conversations").select(
+    return load_table(spark, sf_dir, "conversations", spread_by="conv_id").select(
         F.lit(QUESTION.name).alias("task"),
         (F.col("conv_id") * TURNS + F.col("turn")).alias("ord"),
         "text",
@@ -52,7 +57,7 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`(ord, text)` of all documents."""
-    return load_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), "text")
+    return _docs(spark, sf_dir).select(F.col("doc_id").alias("ord"), "text")
 
 
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,11 +68,11 @@ def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     tag outside the map. Toxic documents lack tags, poor ones the last tag.
     """
     labels = load_table(spark, sf_dir, "labels")
-    docs = load_table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
+    docs = _docs(spark, sf_dir).join(labels, "doc_id", "left")
     parts = F.filter(F.split("text", "[ \t\r\n]+"), lambda p: p != "")
 
-    def tag(part, i):
-        before = F.coalesce(F.get("tokens", i - 1), F.lit(""))
+    def tag(pair):
+        before, part = pair["before"], pair["item"]
         return (
             F.when(part.rlike(r"^\p{Lu}"), "B-PROJ")
             .when(part.rlike("^[0-9]"), "B-XXX")
@@ -81,7 +86,7 @@ def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = F.col("_tags")
     return (
         docs.select("doc_id", "quality", "toxic", parts.alias("tokens"))
-        .withColumn("_tags", F.transform("tokens", tag))
+        .withColumn("_tags", F.transform(after_previous(F.col("tokens"), ""), tag))
         .select(
             F.lit(ENTITIES.name).alias("task"),
             F.col("doc_id").alias("ord"),
@@ -100,7 +105,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     Poor documents come without their label, toxic ones as a bare number. A response of
     few records is a lone object, one with a very long text is cut off before its end.
     """
-    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
     joined = docs.join(load_table(spark, sf_dir, "labels"), "doc_id")
     text = F.col("text").alias("text")
     full = F.to_json(F.struct(text, F.lit("Affirm").alias("label")))

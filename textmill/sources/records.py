@@ -80,8 +80,20 @@ def skip_if_missing(load: Callable[[], DataFrame]) -> DataFrame | None:
         raise
 
 
-def load_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{directory}/{name}.parquet")
+def load_table(
+    spark: SparkSession, directory: str, name: str, spread_by: str | None = None
+) -> DataFrame:
+    """A Parquet table.
+
+    With `spread_by`, a table that comes in fewer splits than there are cores is
+    hash-partitioned by that column, so that text work does not run in one task. Tables
+    with enough splits, as any large one, are read as they are.
+    """
+    df = spark.read.parquet(f"{directory}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if spread_by and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, spread_by)
+    return df
 
 
 def write_records(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("task", "split")) -> None:
