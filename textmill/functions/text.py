@@ -50,8 +50,10 @@ def _windows(text: Column, body: str) -> Column:
 
 def char_ngrams(text: Column, low: int = 2, high: int = 5) -> Column:
     """All character windows of the whole lower-cased text, spaces included."""
-    lowered = F.lower(text)
-    return F.concat(*[_windows(lowered, f".{{{n}}}") for n in range(low, high + 1)])
+    return let(
+        F.lower(text),
+        lambda t: F.concat(*[_windows(t, f".{{{n}}}") for n in range(low, high + 1)]),
+    )
 
 
 def char_wb_ngrams(text: Column, low: int = 2, high: int = 5) -> Column:
@@ -59,9 +61,8 @@ def char_wb_ngrams(text: Column, low: int = 2, high: int = 5) -> Column:
     norm = normalize_text(text)
     # Every word owns both its spaces, so a window crosses words only if it holds two.
     padded = F.concat(F.lit(" "), F.replace(norm, F.lit(" "), F.lit("  ")), F.lit(" "))
-    return F.concat(
-        *[_windows(padded, f"(?:(?!  ).){{{n - 1}}}.") for n in range(low, high + 1)]
-    )
+    bodies = [f"(?:(?!  ).){{{n - 1}}}." for n in range(low, high + 1)]
+    return let(padded, lambda t: F.concat(*[_windows(t, b) for b in bodies]))
 
 
 def chars(text: Column) -> Column:

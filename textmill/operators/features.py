@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
@@ -25,25 +25,30 @@ SERVE_GRAMS: dict[str, Grams] = {
 }
 
 
-def term_counts(docs: DataFrame, grams: Grams) -> DataFrame:
-    """Occurrences `tf` per (ord, term).
+def term_counts(docs: DataFrame, grams: dict[str, Grams]) -> DataFrame:
+    """Occurrences `tf` per (ord, block, term).
 
     The text is partitioned by document before it is exploded. Grouping by
-    (ord, term) then needs no exchange: what moves is the text, not its n-grams, which
-    are an order of magnitude larger.
+    (ord, block, term) then needs no exchange: what moves is the text, not its n-grams,
+    which are an order of magnitude larger.
     """
+    per_block = [
+        F.struct(F.lit(block).alias("block"), fn(F.col("text")).alias("terms"))
+        for block, fn in grams.items()
+    ]
     return (
         docs.select(ORD, "text")
         .repartition(ORD)
-        .select(ORD, F.explode(grams(F.col("text"))).alias("term"))
-        .groupBy(ORD, "term")
+        .select(ORD, F.inline(F.array(*per_block)))
+        .select(ORD, "block", F.explode("terms").alias("term"))
+        .groupBy(ORD, "block", "term")
         .agg(F.count("*").alias("tf"))
     )
 
 
 def corpus_stats(counts: DataFrame) -> DataFrame:
     """Total frequency and document frequency per term, combined before the shuffle."""
-    return counts.groupBy("term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
+    return counts.groupBy("block", "term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
 
 
 def idf(n_docs: Column, df: Column) -> Column:
@@ -69,10 +74,10 @@ def fit_vocabulary(
     sizes = max_features or MAX_FEATURES
     n_docs = docs.agg(F.count("*").alias("_n"))
     blocks = [
-        top_k_terms(corpus_stats(term_counts(docs, grams[block])), sizes[block]).select(
-            F.lit(block).alias("block"), F.lit(i).alias("_place"), "*"
+        top_k_terms(corpus_stats(term_counts(docs, {block: fn})), sizes[block]).select(
+            F.lit(i).alias("_place"), "*"
         )
-        for i, block in enumerate(grams)
+        for i, (block, fn) in enumerate(grams.items())
     ]
     table = blocks[0]
     for block in blocks[1:]:
@@ -88,38 +93,53 @@ def fit_vocabulary(
     )
 
 
-def _weigh(docs: DataFrame, vocab: DataFrame, grams: dict[str, Grams], weight: Column) -> DataFrame:
-    """In-vocabulary weights, L2-normalised per document and block."""
-    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(ORD)))
-    parts = []
-    for block, fn in grams.items():
-        terms = vocab.filter(F.col("block") == block).select("term", "ix", "feature", "idf")
-        # Vocabulary blocks hold at most MAX_FEATURES rows, so they are always broadcast.
-        known = term_counts(docs, fn).join(F.broadcast(terms), "term")
-        parts.append(
-            known.withColumn("weight", weight)
-            .withColumn("weight", F.when(norm > 0, F.col("weight") / norm).otherwise(F.col("weight")))
-            .select(ORD, F.lit(block).alias("block"), "ix", "feature", "weight")
-        )
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part)
-    return table
+def _sides() -> dict[str, tuple[dict[str, Grams], Column]]:
+    """n-grams and weight of both sides; served idf weights have single precision."""
+    tf, weight = F.col("tf"), F.col("idf")
+    return {
+        "fit": (FIT_GRAMS, (1 + F.log(tf)) * weight),
+        "serve": (SERVE_GRAMS, tf * weight.cast("float").cast("double")),
+    }
+
+
+def _weigh(docs: DataFrame, vocab: DataFrame, sides: Sequence[str]) -> DataFrame:
+    """`(ord, side, block, ix, feature, weight)`, L2-normalised per side and block.
+
+    All sides and blocks of a document come from one pass over its text and stay in its
+    partition up to the last column.
+    """
+    chosen = {side: _sides()[side] for side in sides}
+    grams = {f"{side}:{b}": fn for side, (fns, _) in chosen.items() for b, fn in fns.items()}
+    # The vocabulary holds at most 15,000 rows, so it is always broadcast.
+    terms = F.broadcast(vocab.select("block", "term", "ix", "feature", "idf"))
+    side, block = (F.substring_index("block", ":", i) for i in (1, -1))
+    known = (
+        term_counts(docs, grams)
+        .select(ORD, side.alias("side"), block.alias("block"), "term", "tf")
+        .join(terms, ["block", "term"])
+    )
+    weight = F.lit(None).cast("double")
+    for name, (_, value) in chosen.items():
+        weight = F.when(F.col("side") == name, value).otherwise(weight)
+    vector = Window.partitionBy(ORD, "side", "block")
+    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(vector))
+    # A known term has a weight above 0, so the norm is never 0 here.
+    return known.withColumn("weight", weight).select(
+        ORD, "side", "block", "ix", "feature", (F.col("weight") / norm).alias("weight")
+    )
 
 
 def tfidf_transform(docs: DataFrame, vocab: DataFrame) -> DataFrame:
     """Weights as fitted: (1 + ln tf)·idf on word 1-2-grams and in-word char 2-5-grams."""
-    return _weigh(docs, vocab, FIT_GRAMS, (1 + F.log("tf")) * F.col("idf"))
+    return _weigh(docs, vocab, ["fit"]).drop("side")
 
 
 def tfidf_serve(docs: DataFrame, vocab: DataFrame) -> DataFrame:
     """Weights as served: tf·idf on single words and char 2-5-grams across spaces.
 
-    Stored idf weights and the result have single precision.
+    The result has single precision.
     """
-    weights = _weigh(
-        docs, vocab, SERVE_GRAMS, F.col("tf") * F.col("idf").cast("float").cast("double")
-    )
+    weights = _weigh(docs, vocab, ["serve"]).drop("side")
     return weights.withColumn("weight", F.col("weight").cast("float"))
 
 
@@ -145,18 +165,20 @@ def vector_shape(docs: DataFrame, weights: DataFrame, vocab: DataFrame) -> DataF
     )
 
 
-def skew(fit_weights: DataFrame, serve_weights: DataFrame) -> DataFrame:
+def skew(docs: DataFrame, vocab: DataFrame) -> DataFrame:
     """Cosine of fitted and served weights per document and block.
 
     Both sides have norm 1 per block, so the product over shared entries is the cosine.
     """
-    key = [ORD, "block", "ix"]
-    tagged = fit_weights.select(*key, F.col("weight").alias("_f"), F.lit(0.0).alias("_s")).unionByName(
-        serve_weights.select(*key, F.lit(0.0).alias("_f"), F.col("weight").cast("double").alias("_s"))
-    )
-    # Grouping by (ord, block) after the pairs are formed reuses the partitioning by ord.
-    pairs = tagged.repartition(ORD).groupBy(*key).agg(F.sum("_f").alias("_f"), F.sum("_s").alias("_s"))
-    return pairs.groupBy(ORD, "block").agg(F.sum(F.col("_f") * F.col("_s")).alias("cosine"))
+
+    def weight_of(side: str, as_type: str) -> Column:
+        value = F.when(F.col("side") == side, F.col("weight")).otherwise(F.lit(0.0))
+        return F.sum(value.cast(as_type).cast("double")).alias(side)
+
+    # Grouped by (ord, …) inside the document's partition, as everything before.
+    entries = _weigh(docs, vocab, ["fit", "serve"]).groupBy(ORD, "block", "ix")
+    pairs = entries.agg(weight_of("fit", "double"), weight_of("serve", "float"))
+    return pairs.groupBy(ORD, "block").agg(F.sum(F.col("fit") * F.col("serve")).alias("cosine"))
 
 
 def assemble(docs: DataFrame, weights: DataFrame, width: int) -> DataFrame:

@@ -418,7 +418,8 @@ def tag_evaluate(spark, sf_dir):
 
 
 def _ngram_stats(spark, sf_dir, grams) -> DataFrame:
-    return features.corpus_stats(features.term_counts(views.documents(spark, sf_dir), grams))
+    counts = features.term_counts(views.documents(spark, sf_dir), {"all": grams})
+    return features.corpus_stats(counts).drop("block")
 
 
 @query
@@ -488,8 +489,7 @@ def zero_vectors(spark, sf_dir):
 @query
 def skew(spark, sf_dir):
     docs, train = _question_docs(spark, sf_dir)
-    vocab = _vocabulary(train)
-    cosines = features.skew(features.tfidf_transform(docs, vocab), features.tfidf_serve(docs, vocab))
+    cosines = features.skew(docs, _vocabulary(train))
     return cosines.select("ord", "block", _r("cosine", "cosine"))
 
 
