@@ -19,28 +19,28 @@ def zip_to_shorter(tokens: Column, tags: Column) -> Column:
     return F.filter(pairs, lambda p: F.coalesce(p["token"], F.lit("")) != "")
 
 
-def char_bio(tokens: Column, tags: Column) -> Column:
-    """One (token, tag) pair per character.
+def char_tokens(tokens: Column, tags: Column) -> Column:
+    """The characters of all paired tokens: one split of the joined text."""
+    n = F.least(F.size(tokens), F.size(tags))
+    # Joining skips null tokens and empty ones vanish in it, as in `zip_to_shorter`.
+    return chars(F.array_join(F.slice(tokens, F.lit(1), n), ""))
+
 
-    The first character keeps the tag; those after it turn `B-X` into `I-X` and repeat
-    any other tag.
+def char_tags(tokens: Column, tags: Column) -> Column:
+    """One tag per character of `char_tokens`.
+
+    The first character of a token keeps the tag; those after it turn `B-X` into `I-X`
+    and repeat any other tag.
     """
 
-    def follow(tag: Column) -> Column:
-        return F.when(
+    def spread(pair: Column) -> Column:
+        tag, more = pair["tag"], F.length(pair["token"]) - 1
+        follow = F.when(
             tag.startswith("B-"), F.concat(F.lit("I-"), F.substring(tag, 3, 2**30))
         ).otherwise(tag)
+        return F.concat(F.array(tag), F.array_repeat(follow, more))
 
-    def split_pair(pair: Column) -> Column:
-        return F.transform(
-            chars(pair["token"]),
-            lambda c, i: F.struct(
-                c.alias("token"),
-                F.when(i == 0, pair["tag"]).otherwise(follow(pair["tag"])).alias("tag"),
-            ),
-        )
-
-    return F.flatten(F.transform(zip_to_shorter(tokens, tags), split_pair))
+    return F.flatten(F.transform(zip_to_shorter(tokens, tags), spread))
 
 
 def dedupe_key(tokens: Column) -> Column:

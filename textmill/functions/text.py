@@ -67,4 +67,15 @@ def char_wb_ngrams(text: Column, low: int = 2, high: int = 5) -> Column:
 
 def chars(text: Column) -> Column:
     """The text as a list of characters (code points)."""
-    return F.filter(F.split(text, ""), lambda c: c != "")
+    empty = F.array().cast("array<string>")
+    return F.when(text == "", empty).otherwise(F.split(text, ""))
+
+
+def rows_of(items: Column) -> Column:
+    """Generator of the list's elements, plus a NULL row for an empty list.
+
+    A plain `explode` makes the optimizer add a filter on the list's size, which it
+    pushes down to where the list is computed, so that it is computed twice. Callers drop
+    the NULL rows instead.
+    """
+    return F.explode_outer(items)

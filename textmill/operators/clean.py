@@ -48,11 +48,10 @@ def clean_classified(df: DataFrame, tasks: Sequence[TaskSpec]) -> DataFrame:
 def clean_tagged(df: DataFrame) -> DataFrame:
     """Rows with both lists, re-cut to one character per token."""
     kept = df.filter(F.col("tokens").isNotNull() & F.col("tags").isNotNull())
-    pairs = kept.withColumn("_c", tag_fn.char_bio(F.col("tokens"), F.col("tags")))
-    return pairs.select(
+    return kept.select(
         *[c for c in df.columns if c not in ("tokens", "tags")],
-        F.col("_c.token").alias("tokens"),
-        F.col("_c.tag").alias("tags"),
+        tag_fn.char_tokens(F.col("tokens"), F.col("tags")).alias("tokens"),
+        tag_fn.char_tags(F.col("tokens"), F.col("tags")).alias("tags"),
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions import text as text_fn
 from textmill.operators.clean import ORD
+from textmill.runtime import partition_by_row
 from textmill.spec import MAX_FEATURES
 
 Grams = Callable[[Column], Column]
@@ -36,11 +37,16 @@ def term_counts(docs: DataFrame, grams: dict[str, Grams]) -> DataFrame:
         F.struct(F.lit(block).alias("block"), fn(F.col("text")).alias("terms"))
         for block, fn in grams.items()
     ]
+    rows = partition_by_row(docs.select(ORD, "text"), ORD)
+    if len(grams) == 1:
+        # A constant block does not burden the grouping key.
+        rows = rows.select(ORD, text_fn.rows_of(per_block[0]["terms"]).alias("term"), per_block[0]["block"].alias("block"))
+    else:
+        rows = rows.select(ORD, F.inline(F.array(*per_block))).select(
+            ORD, "block", text_fn.rows_of(F.col("terms")).alias("term")
+        )
     return (
-        docs.select(ORD, "text")
-        .repartition(ORD)
-        .select(ORD, F.inline(F.array(*per_block)))
-        .select(ORD, "block", F.explode("terms").alias("term"))
+        rows.filter(F.col("term").isNotNull())
         .groupBy(ORD, "block", "term")
         .agg(F.count("*").alias("tf"))
     )

@@ -6,7 +6,7 @@ from it, and the Viterbi search. Tests check these against brute force or a Newt
 
 from __future__ import annotations
 
-from textmill.operators.neardup import PRIME, coefficients, optimal_bands
+from textmill.operators.neardup import WORD_SIZE, coefficients, optimal_bands
 from textmill.plans.queries import (
     PIVOT_CHARS,
     ROUTE_THRESHOLD,
@@ -379,9 +379,9 @@ l_set AS (
 """
 LINKS = f"""
 {SHINGLES.strip()},
-l_hash AS (SELECT ord, ('0x' || substr(md5(s), 1, 8))::BIGINT % {PRIME} AS h FROM l_set),
+l_hash AS (SELECT ord, ('0x' || substr(md5(s), 1, 8))::UBIGINT AS h FROM l_set),
 l_coef AS (SELECT * FROM (VALUES {_COEFFICIENTS}) AS v(i, a, b)),
-l_sig AS (SELECT ord, i, min((a::BIGINT * h + b) % {PRIME}) AS m FROM l_hash CROSS JOIN l_coef GROUP BY ord, i),
+l_sig AS (SELECT ord, i, min((a::UBIGINT * h + b) % {WORD_SIZE}) AS m FROM l_hash CROSS JOIN l_coef GROUP BY ord, i),
 l_bucket AS (SELECT ord, i // {_ROWS} AS band, string_agg(m::VARCHAR, ',' ORDER BY i) AS bucket FROM l_sig GROUP BY ALL),
 l_lead AS (SELECT *, min(ord) OVER (PARTITION BY band, bucket) AS leader FROM l_bucket),
 l_links AS (SELECT DISTINCT ord, leader FROM l_lead WHERE ord <> leader)

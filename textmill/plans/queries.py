@@ -254,9 +254,9 @@ def _tagged_clean(spark, sf_dir) -> DataFrame:
 
 
 def _tagged_split(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(all, train, test) cleaned sentences; stored once."""
+    """(all, train, test) cleaned sentences; stored once, the split is a filter on it."""
     cleaned = materialize(_tagged_clean(spark, sf_dir), "tagged")
-    split = materialize(jobs.balance_and_split(cleaned, TAGGING), "split")
+    split = jobs.balance_and_split(cleaned, TAGGING)
     return split, *(split.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
 
 

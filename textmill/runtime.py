@@ -79,3 +79,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def partition_by_row(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition by the unique `key` ahead of heavy work inside each row.
+
+    The number of partitions is the cluster's shuffle setting. AQE would size them by
+    their bytes and put a small but expensive text table into one task.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(n, spark.sparkContext.defaultParallelism), key)
