@@ -41,33 +41,37 @@ def read_records(
     Without a stored ordinal, lines are numbered by file name and place in the file, so
     that "keep first" follows the files. `strict` fails on a malformed line; by default
     such lines stay in `_corrupt_record` for `split_rejects`.
+
+    Lines are parsed by `from_json` with all fields: the JSON reader only parses the
+    columns a query asks for and would let a line pass whose other fields are wrong.
     """
     fields = record_schema(task).fields
     if has_ord:
         fields = [StructField("ord", LongType()), *fields]
-    if strict:
-        df = spark.read.schema(StructType(fields)).json(path, mode="FAILFAST")
-    else:
+    options = {"mode": "FAILFAST"}
+    if not strict:
         fields = [*fields, StructField(CORRUPT, StringType())]
-        df = spark.read.schema(StructType(fields)).json(
-            path, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT
-        )
-    if not has_ord:
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    record = F.from_json("value", StructType(fields), options).alias("_r")
+    if has_ord:
+        df = lines.select(record).select("_r.*")
+    else:
         place = ["_file", "_block", "_line"]
-        placed = df.select(
-            "*",
+        placed = lines.select(
+            record,
             F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_line"),
         )
-        df = global_index(placed, place, "ord").drop(*place)
+        df = global_index(placed.select("_r.*", *place), place, "ord").drop(*place)
     return df.withColumn("task", F.lit(task.name))
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good records, rejected lines) of a permissive read."""
     good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return good, df.filter(F.col(CORRUPT).isNotNull()).select("task", CORRUPT)
+    return good, df.filter(F.col(CORRUPT).isNotNull()).select("task", "ord", CORRUPT)
 
 
 def skip_if_missing(load: Callable[[], DataFrame]) -> DataFrame | None:
