@@ -54,7 +54,7 @@ MORE_RULES = (
     Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("bearer", r"bearer\x20{1,8}[A-Za-z0-9._~+/=-]{16,}", re.ASCII | re.IGNORECASE),
-    Rule("login", r"://[^\s/:@]{1,200}:[^\s/:@]{1,200}@"),
+    Rule("login", r"://[^\x20\x09-\x0D/:@]{1,200}:[^\x20\x09-\x0D/:@]{1,200}@"),
 )
 RULES = BASE_RULES + MORE_RULES
 
