@@ -5,8 +5,10 @@ for it. Each tree of the forest orders the classes by a label of several minima;
 that order are the classes with the longest common prefix, however long it is there: a few
 minima where texts differ, the whole label among near copies. Neighbours become candidates from
 `least_prefix` common minima on. Candidates are confirmed on the full shingle sets, first the nearest
-ones of some trees, then those of all trees that still lie in different components. A class takes part in
-a bounded number of candidates, so a group of any size costs in proportion to its size.
+ones of some trees, then those of all trees that still lie in different components. A class has a
+bounded number of neighbours, so a group of any size costs in proportion to its size. Classes
+that came near a component without a link are then held against its members by way of its hub, see
+`beside_hubs`, as their few partners in a dense region may not be among their neighbours.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ PERCENT = 80
 TREES, DEPTH = 16, 8
 #: Common minima that neighbours need, neighbours on each side, and trees of the first confirmation.
 LEAST_PREFIX, REACH, FIRST_TREES = 2, 2, 2
+#: Minima by which a component's hub is found.
+HUB_MINIMA = 32
 #: Bytes of text of a block, or a single longer text.
 BLOCK_BYTES = 8 << 20
 #: Shingle sets that a confirming task keeps.
@@ -152,10 +156,11 @@ def neighbours(classes: DataFrame, trees: int, depth: int, least_prefix: int, re
     return found.filter("a IS NOT NULL").select("a", "b", "tree", "lag").unionByName(edges.mapInPandas(across, "a long, b long, tree int, lag int"))
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs `(a, b)` whose full sets meet the threshold; `texts` has the text of each document and its set key."""
+def compare(pairs: DataFrame, texts: DataFrame, width: int, extras: bool = False) -> DataFrame:
+    """`(a, b, size_a, size_b, both)` of the full sets of pairs `(a, b)`; with `extras` also the hashes that `a` alone has."""
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    names = ["a", "b", "size_a", "size_b", "both", "extra"]
 
     def check(batches):
         sets: OrderedDict[int, np.ndarray] = OrderedDict()
@@ -168,21 +173,97 @@ def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
             return sets[doc_id]
 
         for batch in batches:
-            good = []
-            ids = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)
-            for i, (a, b) in enumerate(ids):
-                x, y = of(a, batch.column("text_a")[i]), of(b, batch.column("text_b")[i])
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                rows: list[list] = [[], [], [], []]
+                ids = [part.column(c).to_pylist() for c in ("a", "b")]
+                for i, (a, b) in enumerate(zip(*ids, strict=True)):
+                    x, y = of(a, part.column("text_a")[i]), of(b, part.column("text_b")[i])
+                    both = np.intersect1d(x, y, assume_unique=True)
+                    alone = np.setdiff1d(x, both, assume_unique=True).view(np.int64) if extras else None
+                    for column, value in zip(rows, (len(x), len(y), len(both), alone), strict=True):
+                        column.append(value)
+                columns = [*ids, *rows[:3]]
+                arrays = [pa.array(c, pa.int64()) for c in columns] + [pa.array(rows[3], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(arrays, names)
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(check, "a long, b long")
+    return joined.mapInArrow(check, "a long, b long, size_a long, size_b long, both long, extra array<long>")
 
 
-def _component_of(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """`(rep, component)` of the nodes that have a link."""
-    return components(links.select("a", "b"), "a", "b").select(F.col("ord").alias("rep"), "component")
+def _linked(percent: int):
+    return 100 * F.col("both") >= percent * (F.col("size_a") + F.col("size_b") - F.col("both"))
+
+
+def _hubs(members: DataFrame, minima: int) -> DataFrame:
+    """`(component, hub)`: the member of each component whose minima are most often those that most members have."""
+
+    def spell(batches):
+        for batch in batches:
+            values = np.frombuffer(b"".join(s[: 4 * minima] for s in batch.column("signature").to_pylist()), ">u4").astype(np.int64)
+            n = batch.num_rows
+            columns = [np.repeat(batch.column(c).to_numpy(), minima) for c in ("component", "rep")]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, np.tile(np.arange(minima), n), values)], ["component", "rep", "place", "value"])
+
+    rows = members.select("component", "rep", "signature").mapInArrow(spell, "component long, rep long, place long, value long")
+    rows = materialize(rows, "minima")
+    counts = rows.groupBy("component", "place", "value").count()
+    usual = counts.groupBy("component", "place").agg(F.max(F.struct("count", "value"))["value"].alias("value"))
+    scores = rows.join(usual, ["component", "place", "value"]).groupBy("component", "rep").count()
+    best = scores.groupBy("component").agg(F.max(F.struct("count", -F.col("rep")))["col2"].alias("_llm_hub"))
+    return best.select("component", (-F.col("_llm_hub")).alias("hub"))
+
+
+def beside_hubs(missed: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links `(a, b)` that the forest's neighbours did not show, of classes that came near a component and missed it.
+
+    `missed` are pairs `(rep, component)`. In a component of many near copies a class may be linked with few
+    members only, which need not be its neighbours. All are compared with the component's hub h. If a misses h,
+    then for a member c, |a & c| is at most min(|a & h|, |c & h|) plus the shingles that both have and
+    h has not. So only members remain that share such a shingle, or that are short enough without one; they
+    are found by joins on shingle and on size and compared in full.
+    """
+    near = missed.select("component").distinct()
+    members = materialize(found.join(near, "component").join(classes, "rep").select("component", "rep", "signature"), "members")
+    hubs = materialize(_hubs(members, HUB_MINIMA), "hubs")
+    asked = missed.select("rep", "component").withColumn("asks", F.lit(True))
+    held = members.select("rep", "component").withColumn("asks", F.lit(False))
+    sides = asked.unionByName(held).join(hubs, "component").select(F.col("rep").alias("a"), F.col("hub").alias("b"), "asks")
+    sides = materialize(sides.filter("a <> b"), "beside-hubs")
+    measured = materialize(compare(sides.select("a", "b").distinct(), texts, width, extras=True), "beside-hubs")
+    asks = measured.join(sides.filter("asks").select("a", "b").distinct(), ["a", "b"])
+    direct = asks.filter(_linked(percent)).select("a", "b")
+    rest = asks.filter(~_linked(percent)).select("b", F.col("a").alias("a_"), F.col("size_a").alias("s"), F.col("both").alias("i"), F.col("extra").alias("e"))
+    others = measured.join(sides.filter("NOT asks").select("a", "b").distinct(), ["a", "b"]).select("b", F.col("a").alias("c_"), F.col("size_a").alias("t"), F.col("both").alias("j"), F.col("extra").alias("f"))
+
+    # |a & c| * (100 + percent) >= percent * (|a| + |c|) is the condition for a link.
+    enough = lambda shared: (100 + percent) * (F.least("i", "j") + shared) >= percent * (F.col("s") + F.col("t"))
+    by_shingle = rest.select("b", "a_", "s", "i", F.explode("e").alias("x")).join(others.select("b", "c_", "t", "j", F.explode("f").alias("x")), ["b", "x"])
+    by_shingle = by_shingle.groupBy("a_", "c_", "s", "i", "t", "j").agg(F.count("*").alias("shared")).filter(enough(F.col("shared")))
+    least = others.groupBy("b").agg(F.min("t").alias("least"))
+    longest = F.floor((100 + percent) * F.col("i") / percent - F.col("s"))
+    short = rest.select("b", "a_", "s", "i").join(least, "b").withColumn("longest", longest).filter("longest >= least")
+    by_size = short.withColumn("t", F.explode(F.sequence("least", "longest"))).join(others.select("b", "c_", "t", "j"), ["b", "t"]).filter(enough(F.lit(0)))
+    pairs = by_shingle.select("a_", "c_").unionByName(by_size.select("a_", "c_")).filter("a_ <> c_")
+    pairs = pairs.select(F.least("a_", "c_").alias("a"), F.greatest("a_", "c_").alias("b")).distinct()
+    return direct.unionByName(compare(pairs, texts, width).filter(_linked(percent)).select("a", "b"))
+
+
+def _component_of(links: DataFrame) -> DataFrame:
+    """`(rep, component)` of the classes that have a link."""
+    return components(links, "a", "b").select(F.col("ord").alias("rep"), "component")
+
+
+def _star(found: DataFrame) -> DataFrame:
+    """Links that give the components again."""
+    return found.select(F.col("component").alias("a"), F.col("rep").alias("b")).filter("a < b")
+
+
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components, with these, null for a class alone."""
+    side = lambda name: found.select(F.col("rep").alias(name), F.col("component").alias(f"component_{name}"))
+    joined = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return joined.filter(F.coalesce("component_a", "a") != F.coalesce("component_b", "b"))
 
 
 def near_components(
@@ -218,17 +299,24 @@ def near_components(
     texts = materialize(texts, "candidate-texts")
 
     first = (F.col("near.lag") == 1) & (F.col("near.tree") < FIRST_TREES)
-    links = materialize(confirm(candidates.filter(first).select("a", "b"), texts, width, percent), "links")
-    found = materialize(_component_of(classes, links), "components")
-    side = lambda name: found.select(F.col("rep").alias(name), F.col("component").alias(f"component_{name}"))
-    rest = candidates.filter(~first).select("a", "b").join(side("a"), "a", "left").join(side("b"), "b", "left")
-    apart = F.coalesce("component_a", "a") != F.coalesce("component_b", "b")
-    more = materialize(confirm(rest.filter(apart).select("a", "b"), texts, width, percent), "links")
+    tried = materialize(compare(candidates.filter(first).select("a", "b"), texts, width), "compared")
+    links = tried.filter(_linked(percent)).select("a", "b")
+    found = materialize(_component_of(links), "components")
+    rest = _apart(candidates.filter(~first).select("a", "b"), found)
+    more = materialize(compare(rest.select("a", "b"), texts, width), "compared")
+    links = more.filter(_linked(percent)).select("a", "b")
+    found = materialize(_component_of(_star(found).unionByName(links)), "components")
+
+    failed = _apart(tried.unionByName(more).filter(~_linked(percent)).select("a", "b"), found)
+    sides = failed.select(F.col("a").alias("rep"), F.col("component_b").alias("component")).unionByName(
+        failed.select(F.col("b").alias("rep"), F.col("component_a").alias("component"))
+    )
+    missed = materialize(sides.filter("component IS NOT NULL").distinct(), "missed")
+    last = materialize(beside_hubs(missed, found, classes, texts, width, percent), "links")
 
     same = usable.join(classes.select("set_key", "rep"), "set_key").select("doc_id", "rep")
-    twice = same.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b")
-    star = found.select(F.col("component").alias("a"), F.col("rep").alias("b")).filter("a < b")
-    linked = materialize(_component_of(classes, star.unionByName(more).unionByName(twice.select("a", "b"))), "components")
+    twice = same.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("a", "b")
+    linked = materialize(_component_of(_star(found).unionByName(last).unionByName(twice)), "components")
 
     rows = signed.join(classes.select("set_key", "rep"), "set_key", "left").join(linked, "rep", "left")
     alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
