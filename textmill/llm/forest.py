@@ -187,7 +187,8 @@ def compare(pairs: DataFrame, texts: DataFrame, width: int, extras: bool = False
                 arrays = [pa.array(c, pa.int64()) for c in columns] + [pa.array(rows[3], pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    # Texts move by shuffle at any size; what is small here is not small in a large corpus.
+    joined = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "text_a", "text_b")
     return joined.mapInArrow(check, "a long, b long, size_a long, size_b long, both long, extra array<long>")
 
 
@@ -293,7 +294,7 @@ def near_components(
     ends = candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).distinct()
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).filter("text IS NOT NULL")
     # Where rows repeat a doc_id, any one of their texts stands for it.
-    texts = texts.join(ends, "doc_id", "left_semi")
+    texts = texts.join(ends.hint("merge"), "doc_id", "left_semi")
     if not usable.groupBy("doc_id").count().filter("count > 1").isEmpty():
         texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
     texts = materialize(texts, "candidate-texts")
