@@ -6,7 +6,6 @@ from it, and the Viterbi search. Tests check these against brute force or a Newt
 
 from __future__ import annotations
 
-from textmill.operators.neardup import WORD_SIZE, coefficients, optimal_bands
 from textmill.plans.queries import (
     PIVOT_CHARS,
     ROUTE_THRESHOLD,
@@ -365,26 +364,35 @@ serve AS (SELECT ord, block, ix, weight::FLOAT AS weight FROM raw_serve)
 
 # ------------------------------------------------------------ near duplicates, diversity
 
-_BANDS, _ROWS = optimal_bands(CLASSIFICATION.near_dup_threshold, CLASSIFICATION.num_perm)
-_COEFFICIENTS = ", ".join(
-    f"({i}, {a}, {b})" for i, (a, b) in enumerate(coefficients(_BANDS * _ROWS))
-)
-SHINGLES = f"""
-{DOCS},
-l_norm AS (SELECT ord, {_norm('text')} AS t FROM d_docs),
+
+
+def _near(texts: str, threshold: float) -> str:
+    """Clusters of `(ord, text)` by the similarity of all pairs.
+
+    Pairs that can reach the threshold share one of their rarest shingles; the others
+    are left out of the comparison without changing its result.
+    """
+    return f"""
+l_norm AS (SELECT ord, {_norm('text')} AS t FROM ({texts})),
 {_windows('l_norm', 't', 'l_win', 5, 5).strip()},
 l_set AS (
   SELECT ord, term AS s FROM l_win
-  UNION SELECT ord, t FROM l_norm WHERE length(t) BETWEEN 1 AND 4)
-"""
-LINKS = f"""
-{SHINGLES.strip()},
-l_hash AS (SELECT ord, ('0x' || substr(md5(s), 1, 8))::UBIGINT AS h FROM l_set),
-l_coef AS (SELECT * FROM (VALUES {_COEFFICIENTS}) AS v(i, a, b)),
-l_sig AS (SELECT ord, i, min((a::UBIGINT * h + b) % {WORD_SIZE}) AS m FROM l_hash CROSS JOIN l_coef GROUP BY ord, i),
-l_bucket AS (SELECT ord, i // {_ROWS} AS band, string_agg(m::VARCHAR, ',' ORDER BY i) AS bucket FROM l_sig GROUP BY ALL),
-l_lead AS (SELECT *, min(ord) OVER (PARTITION BY band, bucket) AS leader FROM l_bucket),
-l_links AS (SELECT DISTINCT ord, leader FROM l_lead WHERE ord <> leader)
+  UNION SELECT ord, t FROM l_norm WHERE length(t) BETWEEN 1 AND 4),
+l_rare AS (
+  SELECT ord, s, count(*) OVER (PARTITION BY ord) AS n, row_number() OVER (PARTITION BY ord ORDER BY df, s) AS r
+  FROM (SELECT ord, s, count(*) OVER (PARTITION BY s) AS df FROM l_set)),
+l_first AS (SELECT * FROM l_rare WHERE r <= n - ceil({threshold} * n) + 1),
+l_cand AS (
+  SELECT DISTINCT a.ord AS u, b.ord AS v FROM l_first a JOIN l_first b ON a.s = b.s AND a.ord < b.ord
+  WHERE least(a.n, b.n) >= {threshold} * greatest(a.n, b.n)),
+l_lists AS (SELECT ord, list(s) AS shingles FROM l_set GROUP BY ord),
+l_both AS (
+  SELECT u, v, len(list_intersect(a.shingles, b.shingles)) AS shared, len(a.shingles) + len(b.shingles) AS total
+  FROM l_cand JOIN l_lists a ON a.ord = u JOIN l_lists b ON b.ord = v),
+l_pairs AS (SELECT u, v FROM l_both WHERE shared::DOUBLE / (total - shared) >= {threshold}),
+l_edges AS (SELECT u, v FROM l_pairs UNION SELECT v, u FROM l_pairs),
+x_reach AS (SELECT u AS a, u AS b FROM l_edges UNION SELECT x_reach.a, e.v FROM x_reach JOIN l_edges e ON e.u = x_reach.b),
+l_cluster AS (SELECT a AS ord, min(b) AS cluster FROM x_reach GROUP BY a)
 """
 
 
@@ -662,21 +670,24 @@ SELECT ord,
 FROM x_score""",
     ),
     "near_dup_lsh": _with(
-        LINKS,
-        """
-x_sets AS (SELECT ord, list(s) AS shingles FROM l_set GROUP BY ord),
-x_pairs AS (
-  SELECT l.ord, l.leader, len(list_intersect(a.shingles, b.shingles)) AS shared,
-         len(a.shingles) AS na, len(b.shingles) AS nb
-  FROM l_links l JOIN x_sets a ON a.ord = l.ord JOIN x_sets b ON b.ord = l.leader)""",
-        select="SELECT ord, leader, round(shared / (na + nb - shared), 6) AS jaccard FROM x_pairs",
+        DOCS,
+        _near("SELECT ord, text FROM d_docs", CLASSIFICATION.near_dup_threshold),
+        select="SELECT ord, cluster FROM l_cluster",
+        recursive=True,
     ),
     "dedupe_near": _with(
-        LINKS,
+        DOCS,
+        _near("SELECT ord, text FROM d_docs", CLASSIFICATION.near_dup_threshold),
+        select="SELECT ord FROM d_docs WHERE ord NOT IN (SELECT ord FROM l_cluster WHERE cluster < ord)",
+        recursive=True,
+    ),
+    "dedupe_near_tags": _with(
         """
-x_edges AS (SELECT ord AS u, leader AS v FROM l_links UNION SELECT leader, ord FROM l_links),
-x_reach AS (SELECT u AS a, u AS b FROM x_edges UNION SELECT x_reach.a, e.v FROM x_reach JOIN x_edges e ON e.u = x_reach.b)""",
-        select="SELECT ord FROM d_docs WHERE ord NOT IN (SELECT a FROM x_reach WHERE b < a)",
+n_docs AS (
+  SELECT doc_id AS ord, regexp_replace(text, '[ \\t\\r\\n]+', '', 'g') AS text
+  FROM documents LEFT JOIN labels USING (doc_id) WHERE coalesce(toxic, 0) <> 1)""",
+        _near("SELECT ord, text FROM n_docs", TAGGING.near_dup_threshold),
+        select="SELECT ord FROM n_docs WHERE ord NOT IN (SELECT ord FROM l_cluster WHERE cluster < ord)",
         recursive=True,
     ),
     "diversity": _diversity(

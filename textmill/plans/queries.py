@@ -535,8 +535,8 @@ def route(spark, sf_dir):
 @query
 def near_dup_lsh(spark, sf_dir):
     docs = views.documents(spark, sf_dir)
-    links = neardup.near_dup_links(docs, CLASSIFICATION.near_dup_threshold, CLASSIFICATION.num_perm)
-    return neardup.link_similarity(links, docs).select("ord", "leader", _r("jaccard", "jaccard"))
+    found = neardup.near_dup_clusters(docs, CLASSIFICATION.near_dup_threshold, CLASSIFICATION.num_perm)
+    return found.select("ord", F.col("component").alias("cluster"))
 
 
 @query
@@ -547,6 +547,14 @@ def dedupe_near(spark, sf_dir):
     return kept.select("ord")
 
 
+@query
+def dedupe_near_tags(spark, sf_dir):
+    """Tagged sentences at their own, higher threshold."""
+    rows = views.tagged(spark, sf_dir).filter(F.col("tags").isNotNull())
+    texts = rows.select("ord", F.concat_ws("", "tokens").alias("text"))
+    return neardup.dedupe_near(texts, TAGGING.near_dup_threshold, TAGGING.num_perm).select("ord")
+
+
 @query
 def diversity(spark, sf_dir):
     found = diversity_op.diversity(views.vectors(spark, sf_dir), SAMPLE_SIZE, SEED_SAMPLE)
