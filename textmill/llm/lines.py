@@ -205,7 +205,8 @@ class LineIndex:
         refs = line_references(docs, self.min_length) if refs is None else refs
         likely = self._probe(refs.select(KEY).distinct(), "shared")
         shared = self.counts.filter("min_doc < max_doc").join(likely, KEY, "left_semi").select(*KEY, "min_doc")
-        drops = refs.join(shared, KEY).filter("doc_id <> min_doc")
+        # A table of its own, so that both sides are shuffled and Spark can split the lines of a hot key.
+        drops = refs.join(materialize(shared, "shared-lines"), KEY).filter("doc_id <> min_doc")
         listed = drops.groupBy(F.col("doc_id").alias("_llm_id")).agg(F.collect_set(F.struct(*KEY)).alias("_llm_keys"))
         rest = docs.drop("n_lines", "n_dropped", "_llm_id", "_llm_keys")
         joined = rest.join(listed, rest["doc_id"] == listed["_llm_id"], "left").drop("_llm_id")
