@@ -130,7 +130,10 @@ def test_encode_decode_and_pad(spark, train, vocab):
 
 
 def test_large_vocabularies_are_joined_by_shuffle(spark, train, vocab, monkeypatch):
-    monkeypatch.setattr(tagging, "MAX_BROADCAST_TOKENS", 2)
+    emissions, transitions = tagging.tag_emissions(train, TAG_MAP), tagging.tag_transitions(train, TAG_MAP)
+    small = tagging.tag_viterbi(train, emissions, transitions, TAG_MAP).select("ord", "predicted").collect()
+    monkeypatch.setattr(tagging, "MAX_BROADCAST_BYTES", 2)
+    assert sorted(tagging.tag_viterbi(train, emissions, transitions, TAG_MAP).select("ord", "predicted").collect()) == sorted(small)
     got = {r["ord"]: r["ids"] for r in tagging.encode_tokens(train, vocab).collect()}
     assert got == {1: [2, 1, 3], 2: [1, 3], 3: []}
 

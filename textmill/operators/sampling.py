@@ -72,6 +72,11 @@ def class_counts(df: DataFrame, by: Sequence[str] = ("task",)) -> DataFrame:
     return df.groupBy(*by, "label").agg(F.count("*").alias("rows"))
 
 
+def balanced_counts(df: DataFrame, by: Sequence[str] = ("task",)) -> DataFrame:
+    """The class counts that `undersample` leaves."""
+    return class_counts(df, by).withColumn("rows", F.min("rows").over(Window.partitionBy(*by)))
+
+
 def undersample(df: DataFrame, seed: str, by: Sequence[str] = ("task",)) -> DataFrame:
     """The same number of rows from every class of a task: that of its smallest class."""
     counts = class_counts(df, by)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -72,6 +73,7 @@ def balance_and_split(cleaned: DataFrame, spec: JobSpec) -> DataFrame:
     if spec.is_tagging:
         return sampling.split_random(cleaned, spec.test_share, f"{spec.seed}:split")
     balanced = sampling.undersample(cleaned, f"{spec.seed}:balance")
+    sampling.check_splittable(sampling.balanced_counts(cleaned, ("task",)), spec.test_share, ("task",))
     # The balanced table is a filter of `cleaned`; its class counts feed the quotas.
     return sampling.split_stratified(balanced, spec.test_share, f"{spec.seed}:split")
 
@@ -85,9 +87,7 @@ def train_text_task(train: DataFrame, test: DataFrame):
         for name, docs in (("train", train), ("test", test))
     }
     # Training reads the vectors once per iteration.
-    train_vectors = rows["train"].select("label", "features").persist()
-    model = classify.train_classifier(train_vectors)
-    train_vectors.unpersist()
+    model = classify.train_classifier(materialize(rows["train"].select("label", "features"), "vectors"))
     return vocab, model, classify.score(rows["test"], model)
 
 
@@ -130,7 +130,8 @@ def _raw(spark: SparkSession, spec: JobSpec, root: str) -> DataFrame | None:
         if df is None:
             continue
         good, bad = records.split_rejects(df)
-        records.append_records(bad, f"{root}/rejects/{task.name}")
+        # Replaced as a whole, so that another run does not add the same lines again.
+        bad.write.mode("overwrite").json(f"{root}/rejects/{task.name}")
         found = good if found is None else found.unionByName(good)
     return found
 
@@ -140,12 +141,12 @@ def run(
     spec: JobSpec,
     root: str,
     steps: Sequence[str] = STEPS,
-    date: str = "undated",
+    date: str | None = None,
 ) -> dict[str, object]:
     """Run the chosen steps in their fixed order under the folder `root`.
 
     Layout: `payloads/<task>`, `raw/<task>`, `processed`, `reports`, `models/<task>`.
-    A task without input is skipped and reported as such.
+    A task without input is skipped and reported as such. Reports bear `date`, today's if not given.
     """
     unknown = set(steps) - set(STEPS)
     if unknown:
@@ -154,7 +155,7 @@ def run(
     if "ingest" in steps:
         done["ingest"] = _ingest(spark, spec, root)
     if "refine" in steps:
-        done["refine"] = _refine(spark, spec, root, date)
+        done["refine"] = _refine(spark, spec, root, date or datetime.date.today().isoformat())
     if "train" in steps:
         done["train"] = {t.name: _train(spark, spec, t, root) for t in spec.tasks}
     if "export" in steps:

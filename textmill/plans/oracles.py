@@ -16,10 +16,7 @@ from textmill.plans.queries import (
     SEED_SPLIT,
 )
 from textmill.plans.views import (
-    CUT_OFF_CHARS,
-    LONE_RECORDS,
     RECORDS_PER_RESPONSE,
-    TURNS,
 )
 from textmill.spec import CLASSIFICATION, ENTITIES, MAX_FEATURES, TAGGING
 
@@ -40,7 +37,7 @@ def _with(*parts: str, select: str, recursive: bool = False) -> str:
 
 QUESTIONS = f"""
 q_raw AS (
-  SELECT 'is_question' AS task, conv_id * {TURNS} + turn AS ord, text,
+  SELECT 'is_question' AS task, conv_id * (SELECT max(turn) + 1 FROM conversations) + turn AS ord, text,
          CASE role WHEN 'user' THEN 'Question' WHEN 'assistant' THEN 'Statement' ELSE role END AS label
   FROM conversations)
 """
@@ -219,18 +216,17 @@ SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
 
 PAYLOAD = f"""
 p_docs AS (
-  SELECT doc_id // {RECORDS_PER_RESPONSE} AS batch, doc_id, text, quality, toxic
-  FROM documents JOIN labels USING (doc_id)),
-p_batch AS (
-  SELECT batch, max(length(text)) > {CUT_OFF_CHARS} AS cut, count(*) <= {LONE_RECORDS} AS lone FROM p_docs GROUP BY batch),
+  SELECT CASE WHEN toxic = 1 THEN -1 - doc_id ELSE doc_id // {RECORDS_PER_RESPONSE} END AS batch, doc_id, text,
+         coalesce(quality, 1) AS quality
+  FROM documents LEFT JOIN labels USING (doc_id)),
 p_kind AS (
-  SELECT batch, CASE WHEN cut THEN 'unparsable' WHEN lone THEN 'not_a_list' ELSE 'list' END AS kind FROM p_batch),
+  SELECT batch, CASE WHEN batch >= 0 THEN 'list' WHEN min(quality) = 0 THEN 'unparsable' ELSE 'not_a_list' END AS kind
+  FROM p_docs GROUP BY batch),
 p_items AS (
-  SELECT batch, row_number() OVER (PARTITION BY batch ORDER BY doc_id) - 1 AS pos, text, quality, toxic
-  FROM p_docs),
+  SELECT batch, row_number() OVER (PARTITION BY batch ORDER BY doc_id) - 1 AS pos, text, quality FROM p_docs),
 p_valid AS (
   SELECT batch, pos, md5(text) AS text_md5, 'Affirm' AS label
-  FROM p_items JOIN p_kind USING (batch) WHERE kind = 'list' AND quality = 1 AND toxic = 0)
+  FROM p_items JOIN p_kind USING (batch) WHERE kind = 'list' AND quality = 1)
 """
 PAYLOAD_ITEMS = _with(PAYLOAD, select="SELECT batch, pos, text_md5, label FROM p_valid")
 QUOTA = f"""

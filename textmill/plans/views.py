@@ -16,10 +16,7 @@ from textmill.functions.tags import after_previous
 from textmill.sources.records import load_table
 from textmill.spec import CONFIRMATION, ENTITIES, QUESTION
 
-TURNS = 1 << 20  # turns per conversation that the ordinal leaves room for
 RECORDS_PER_RESPONSE = 25
-LONE_RECORDS = 6
-CUT_OFF_CHARS = 12_000
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,9 +44,12 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("role") == "assistant", "Statement")
         .otherwise(F.col("role"))
     )
-    return load_table(spark, sf_dir, "conversations", spread_by="conv_id").select(
+    turns = load_table(spark, sf_dir, "conversations", spread_by="conv_id")
+    # Room for the longest conversation, so that no two turns share an ordinal.
+    room = (turns.agg(F.max("turn")).first()[0] or 0) + 1
+    return turns.select(
         F.lit(QUESTION.name).alias("task"),
-        (F.col("conv_id") * TURNS + F.col("turn")).alias("ord"),
+        (F.col("conv_id") * room + F.col("turn")).alias("ord"),
         "text",
         label.alias("label"),
     )
@@ -100,37 +100,38 @@ def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`(batch, payload)`: up to 25 consecutive documents per response.
+    """`(batch, payload)`: all documents, up to 25 consecutive ones per response.
 
-    Poor documents come without their label, toxic ones as a bare number. A response of
-    few records is a lone object, one with a very long text is cut off before its end.
+    Poor documents come without their label, or as a bare number if they have one line. Toxic
+    ones get a response of their own with a negative number: a lone object, cut off before its end if
+    the document is poor, too. Documents without labels are good ones.
     """
     docs = _docs(spark, sf_dir).select("doc_id", "text")
-    joined = docs.join(load_table(spark, sf_dir, "labels"), "doc_id")
+    joined = docs.join(load_table(spark, sf_dir, "labels"), "doc_id", "left")
     text = F.col("text").alias("text")
     full = F.to_json(F.struct(text, F.lit("Affirm").alias("label")))
+    poor = F.coalesce(F.col("quality") == 0, F.lit(False))
+    toxic = F.coalesce(F.col("toxic") == 1, F.lit(False))
     item = (
-        F.when(F.col("toxic") == 1, F.col("doc_id").cast("string"))
-        .when(F.col("quality") == 0, F.to_json(F.struct(text)))
+        F.when(poor & ~F.contains("text", F.lit("\n")), F.col("doc_id").cast("string"))
+        .when(poor, F.to_json(F.struct(text)))
         .otherwise(full)
     )
     # At most 25 documents share a batch number, so a group is bounded.
     batches = (
         joined.select(
-            (F.col("doc_id") / RECORDS_PER_RESPONSE).cast("bigint").alias("batch"),
+            F.when(toxic, -1 - F.col("doc_id")).otherwise(F.expr(f"doc_id div {RECORDS_PER_RESPONSE}")).alias("batch"),
             F.struct("doc_id", item.alias("item")).alias("_i"),
-            F.length("text").alias("_chars"),
+            poor.alias("_poor"),
         )
         .groupBy("batch")
-        .agg(
-            F.array_sort(F.collect_list("_i")).alias("_items"),
-            F.max("_chars").alias("_longest"),
-        )
+        .agg(F.array_sort(F.collect_list("_i")).alias("_items"), F.max("_poor").alias("_poor"))
     )
     body = F.concat(F.lit("["), F.array_join("_items.item", ","))
+    alone = F.col("batch") < 0
     payload = (
-        F.when(F.col("_longest") > CUT_OFF_CHARS, body)
-        .when(F.size("_items") <= LONE_RECORDS, F.concat(F.lit('{"items": '), body, F.lit("]}")))
+        F.when(alone & F.col("_poor"), F.concat(F.lit('{"items": '), body))
+        .when(alone, F.concat(F.lit('{"items": '), body, F.lit("]}")))
         .otherwise(F.concat(body, F.lit("]")))
     )
     return batches.select("batch", payload.alias("payload"))

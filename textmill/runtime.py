@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: Settings that hold at any scale; sizes of a given cluster stay with the cluster.
 SESSION_CONF = {
@@ -70,17 +69,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast `df` only after counting that it has at most `max_rows` rows.
-
-    Otherwise the table is returned unhinted and joins as a shuffled join, whose hot
-    keys AQE splits. Pass a materialized table, since counting runs a job.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def partition_by_row(df: DataFrame, key: str) -> DataFrame:
     """Hash-partition by the unique `key` ahead of heavy work inside each row.
 
