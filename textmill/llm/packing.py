@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import zlib
 from collections.abc import Callable, Iterator
+from functools import cache, cached_property
 
 import numpy as np
 import pandas as pd
@@ -38,7 +39,7 @@ END_ID = 2
 #: The string that the vocabulary file takes for one id.
 SPECIAL = "<|endoftext|>"
 #: Bytes of text of a block, or a single longer text.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Share of a length that one pricing may cover, fall of the prices, and configurations of a pricing.
 STEP, RATE, MOST_CONFIGURATIONS = 0.1, 4.0, 16
 #: Shares of the program's solution that rounding tries.
@@ -57,15 +58,21 @@ class PartTokenizer:
     def __init__(self, path: str, ranks_path: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
+        self.path = path
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.spaced = np.zeros(len(ranks), bool)
         self.spaced[[rank for token, rank in ranks.items() if token.startswith(b" ")]] = True
 
+    @cached_property
+    def model(self):
+        """The vocabulary file itself, loaded only if a text needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def whole(self, text: str) -> bytes:
         if SPECIAL in text:
             ids = self.model.encode(text, add_special_tokens=False).ids
@@ -97,6 +104,12 @@ class PartTokenizer:
         return out
 
 
+@cache
+def part_tokenizer(path: str, ranks_path: str) -> PartTokenizer:
+    """One per worker process, kept from task to task."""
+    return PartTokenizer(path, ranks_path)
+
+
 def cut_pieces(
     docs: DataFrame,
     capacity: int = CAPACITY,
@@ -110,7 +123,7 @@ def cut_pieces(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = PartTokenizer(locate(vocabulary), locate(ranks))
+        tokenizer = part_tokenizer(locate(vocabulary), locate(ranks))
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for doc_ids, texts in blocks(batch.column(0), batch.column(1), BLOCK_BYTES):

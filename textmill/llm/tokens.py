@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +31,7 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@cache
 def load_pieces(path: str) -> dict[str, float]:
     """Log probability of each piece of a vocabulary file, in the order of its ids."""
     import sentencepiece
