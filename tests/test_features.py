@@ -51,8 +51,10 @@ def test_unknown_terms(spark, docs, vocab):
     width = vocab.count()
     got = {r["ord"]: r["features"] for r in features.assemble(new, features.tfidf_transform(new, vocab), width).collect()}
     assert got[7].numNonzeros() == 0 and got[7].size == width and got[8].numNonzeros() > 0
-    shape = {r["ord"]: (r["entries"], r["width"]) for r in features.vector_shape(new, weights, vocab).collect()}
-    assert shape == {7: (0, width), 8: (1, width)}
+    entries = features.vector_entries(features.tfidf_serve(new, vocab)).collect()
+    vector = features.assemble(new, features.tfidf_serve(new, vocab), width).filter("ord = 8").first()["features"]
+    assert {r["ord"] for r in entries} == {8}
+    assert [(r["ix"], r["value"]) for r in entries] == list(zip(vector.indices.tolist(), vector.values.tolist()))
 
 
 def test_ties_at_the_cut(spark):

@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from textmill.functions import text as text_fn
 from textmill.operators.clean import ORD
-from textmill.runtime import partition_by_row
+from textmill.runtime import new_path, partition_by_row
 from textmill.spec import MAX_FEATURES
 
 Grams = Callable[[Column], Column]
 
+#: Kind of a stored vector that lists its non-zero entries.
+SPARSE = 0
+
 #: n-grams the model is fitted on, and those computed when it is served.
 FIT_GRAMS: dict[str, Grams] = {
     "word": text_fn.word_ngrams,
@@ -154,21 +158,10 @@ def zero_vectors(docs: DataFrame, weights: DataFrame) -> DataFrame:
     return docs.select(ORD).join(weights.select(ORD), ORD, "left_anti")
 
 
-def vector_entries(weights: DataFrame, order: str = "feature") -> DataFrame:
-    """The non-zero entries in vector order, one row each."""
-    return weights.filter(F.col("weight") != 0).orderBy(ORD, order)
-
-
-def vector_shape(docs: DataFrame, weights: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Per document the number of entries and the vector width, zero vectors included."""
-    entries = weights.groupBy(ORD).agg(F.count_if(F.col("weight") != 0).alias("entries"))
-    width = vocab.agg(F.count("*").alias("width"))
-    return (
-        docs.select(ORD)
-        .join(entries, ORD, "left")
-        .join(F.broadcast(width))
-        .select(ORD, F.coalesce("entries", F.lit(0)).alias("entries"), "width")
-    )
+def vector_entries(weights: DataFrame) -> DataFrame:
+    """`(ord, ix, value)`: the non-zero entries of each document's vector, in its order within a partition."""
+    entries = weights.filter(F.col("weight") != 0).repartition(ORD).sortWithinPartitions(ORD, "feature")
+    return entries.select(ORD, F.col("feature").cast("bigint").alias("ix"), F.col("weight").alias("value"))
 
 
 def skew(docs: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -188,19 +181,25 @@ def skew(docs: DataFrame, vocab: DataFrame) -> DataFrame:
 
 
 def assemble(docs: DataFrame, weights: DataFrame, width: int) -> DataFrame:
-    """`docs` with a sparse `features` vector; unknown-terms-only documents get zeros."""
-
-    @F.udf(VectorUDT())
-    def to_vector(entries):
-        return Vectors.sparse(width, [(e["feature"], e["weight"]) for e in entries or []])
+    """`docs` with a sparse `features` vector; documents of unknown terms only get zeros.
 
+    The parts of a vector are written as columns and read back as its type, so no row passes
+    through Python. The result is a stored table, which training may read many times.
+    """
+    spark = docs.sparkSession
     rows = weights.groupBy(ORD).agg(
         F.array_sort(
             F.collect_list(F.struct("feature", F.col("weight").cast("double").alias("weight")))
         ).alias("_entries")
     )
-    return (
-        docs.join(rows, ORD, "left")
-        .withColumn("features", to_vector("_entries"))
-        .drop("_entries")
+    parts = F.struct(
+        F.lit(SPARSE).cast("tinyint").alias("type"),
+        F.lit(width).cast("int").alias("size"),
+        F.coalesce(F.col("_entries.feature"), F.array()).cast("array<int>").alias("indices"),
+        F.coalesce(F.col("_entries.weight"), F.array()).cast("array<double>").alias("values"),
     )
+    plain = docs.join(rows, ORD, "left").select(*docs.columns, parts.alias("features"))
+    path = new_path(spark, "vectors")
+    plain.write.parquet(path)
+    fields = [f for f in plain.schema.fields if f.name != "features"]
+    return spark.read.schema(StructType([*fields, StructField("features", VectorUDT())])).parquet(path)

@@ -86,8 +86,7 @@ def train_text_task(train: DataFrame, test: DataFrame):
         name: features.assemble(docs, features.tfidf_transform(docs, vocab), width)
         for name, docs in (("train", train), ("test", test))
     }
-    # Training reads the vectors once per iteration.
-    model = classify.train_classifier(materialize(rows["train"].select("label", "features"), "vectors"))
+    model = classify.train_classifier(rows["train"].select("label", "features"))
     return vocab, model, classify.score(rows["test"], model)
 
 
@@ -100,12 +99,14 @@ def train_tagging_task(train: DataFrame, test: DataFrame, task: TaskSpec):
     return tokens, emissions, transitions, tagged
 
 
-def predict_texts(docs: DataFrame, models_dir: str, task: TaskSpec) -> DataFrame:
-    """Batch prediction with the exported vocabulary and serve-side features."""
+def predict_texts(docs: DataFrame, models_dir: str, task: TaskSpec, side: str = "serve") -> DataFrame:
+    """Batch prediction with the exported vocabulary, with features as served or as fitted (`side`)."""
+    if side not in ("serve", "fit"):
+        raise ValueError(f"unknown side: {side}")
     spark = docs.sparkSession
     vocab = artifacts.read_tfidf_artifact(spark, f"{models_dir}/{task.name}/preprocessor")
     model = artifacts.load_model(f"{models_dir}/{task.name}/model")
-    weights = features.tfidf_serve(docs, vocab)
+    weights = features.tfidf_serve(docs, vocab) if side == "serve" else features.tfidf_transform(docs, vocab)
     return classify.score(features.assemble(docs, weights, vocab.count()), model)
 
 

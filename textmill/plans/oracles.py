@@ -337,11 +337,19 @@ def _weights(docs: str, blocks: dict[str, str], weight: str, name: str) -> str:
 
 FIT_WEIGHT = "(1 + ln(n)) * v.idf"
 SERVE_WEIGHT = "n * v.idf::FLOAT::DOUBLE"
-QUESTION_VOCAB = f"""
-{_train('is_question').strip()},
+VOCAB = f"""
 {_vocab('f_train', 'word').strip()},
 {_vocab('f_train', 'char').strip()}
 """
+
+
+def _each_task(*parts: str, select: str) -> str:
+    """The same SQL for every classification task, with its name."""
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t.name}' AS task, * FROM ({_with(_train(t.name), *parts, select=select)})" for t in CLASSIFICATION.tasks
+    )
+
+
 FIT = f"""
 {_word_terms('f_docs', 'a_word', True).strip()},
 {_wb_terms('f_docs', 'a_char').strip()},
@@ -620,33 +628,35 @@ SELECT ord, coalesce(predicted_md5, md5('')) AS predicted_md5 FROM t_split LEFT
     "word_ngrams": _with(DOCS, _word_terms("d_docs", "x_t", True), select=_stats("x_t")),
     "char_wb_ngrams": _with(DOCS, _wb_terms("d_docs", "x_t"), select=_stats("x_t")),
     "char_ngrams": _with(DOCS, _char_terms("d_docs", "x_t"), select=_stats("x_t")),
-    "vocab_words": _with(
-        _train("is_question"), _vocab("f_train", "word"),
+    "vocab_words": _each_task(
+        _vocab("f_train", "word"),
         select="SELECT ix, term, tf, df, round(idf, 6) AS idf FROM v_word",
     ),
-    "vocab_chars": _with(
-        _train("is_question"), _vocab("f_train", "char"),
+    "vocab_chars": _each_task(
+        _vocab("f_train", "char"),
         select="SELECT ix, term, tf, df, round(idf, 6) AS idf FROM v_char",
     ),
-    "tfidf_fit": _with(
-        QUESTION_VOCAB, FIT, select="SELECT ord, block, ix, round(weight, 6) AS weight FROM fit"
+    "tfidf_fit": _each_task(
+        VOCAB, FIT, select="SELECT ord, block, ix, round(weight, 6) AS weight FROM fit"
     ),
-    "tfidf_serve": _with(
-        QUESTION_VOCAB, _serve("f_docs"),
+    "tfidf_serve": _each_task(
+        VOCAB, _serve("f_docs"),
         select="SELECT ord, block, ix, round(weight::DOUBLE, 6) AS weight FROM serve",
     ),
-    "vector_entries": _with(
-        QUESTION_VOCAB, DOCS, _serve("d_docs"),
+    "vector_entries": _each_task(
+        VOCAB, _serve("f_docs"),
         select="""
-SELECT d.ord, count(s.ix) AS entries, (SELECT count(*) FROM v_word) + (SELECT count(*) FROM v_char) AS width
-FROM d_docs d LEFT JOIN serve s USING (ord) GROUP BY d.ord""",
+SELECT ord, ix + CASE block WHEN 'char' THEN (SELECT count(*) FROM v_word) ELSE 0 END AS ix, round(weight::DOUBLE, 6) AS value
+FROM serve WHERE weight <> 0""",
     ),
     "zero_vectors": _with(
-        _train("confirmation"), _vocab("f_train", "word"), _word_terms("q_raw", "x_t", False),
-        select="SELECT ord FROM q_raw WHERE ord NOT IN (SELECT ord FROM x_t JOIN v_word USING (term))",
+        _train("confirmation"), _vocab("f_train", "word"),
+        "x_docs AS (SELECT ord, text FROM q_raw UNION ALL SELECT -1 - c_custkey, c_name FROM customer)",
+        _word_terms("x_docs", "x_t", False),
+        select="SELECT ord FROM x_docs WHERE ord NOT IN (SELECT ord FROM x_t JOIN v_word USING (term))",
     ),
-    "skew": _with(
-        QUESTION_VOCAB, FIT, _serve("f_docs"),
+    "skew": _each_task(
+        VOCAB, FIT, _serve("f_docs"),
         select="""
 SELECT ord, block, round(sum(coalesce(f.weight, 0) * coalesce(s.weight::DOUBLE, 0)), 6) AS cosine
 FROM fit f FULL JOIN serve s USING (ord, block, ix) GROUP BY ord, block""",

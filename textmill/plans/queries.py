@@ -25,7 +25,7 @@ from textmill.operators import (
 from textmill.plans import jobs, views
 from textmill.runtime import materialize, new_path
 from textmill.sources.records import TEXT_RECORD, load_table
-from textmill.spec import CLASSIFICATION, CONFIRMATION, ENTITIES, QUESTION, TAGGING
+from textmill.spec import CLASSIFICATION, CONFIRMATION, ENTITIES, TAGGING
 from textmill.streaming import ingest as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,12 +73,6 @@ def _balanced_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(jobs.balance_and_split(cleaned, CLASSIFICATION), "split")
 
 
-def _question_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(all, train) balanced records of the question task."""
-    docs = _balanced_split(spark, sf_dir).filter(F.col("task") == QUESTION.name)
-    return docs, docs.filter(F.col("split") == "train")
-
-
 def _vocabulary(train: DataFrame) -> DataFrame:
     return materialize(features.fit_vocabulary(train), "vocabulary")
 
@@ -437,9 +431,21 @@ def char_ngrams(spark, sf_dir):
     return _ngram_stats(spark, sf_dir, text_fn.char_ngrams)
 
 
+def _each_task(spark, sf_dir, build: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """`build(balanced records, train part)` of every classification task, with its name in `task`."""
+    split = _balanced_split(spark, sf_dir)
+    out = None
+    for task in CLASSIFICATION.tasks:
+        docs = split.filter(F.col("task") == task.name).drop("task")
+        built = build(docs, docs.filter(F.col("split") == "train")).withColumn("task", F.lit(task.name))
+        out = built if out is None else out.unionByName(built)
+    return out
+
+
 def _vocab_block(spark, sf_dir, block: str) -> DataFrame:
-    table = features.fit_vocabulary(_question_docs(spark, sf_dir)[1], {block: features.FIT_GRAMS[block]})
-    return table.select(F.col("ix").cast("bigint").alias("ix"), "term", "tf", "df", _r("idf", "idf"))
+    grams = {block: features.FIT_GRAMS[block]}
+    table = _each_task(spark, sf_dir, lambda docs, train: features.fit_vocabulary(train, grams))
+    return table.select("task", F.col("ix").cast("bigint").alias("ix"), "term", "tf", "df", _r("idf", "idf"))
 
 
 @query
@@ -453,65 +459,67 @@ def vocab_chars(spark, sf_dir):
 
 
 def _long(weights: DataFrame) -> DataFrame:
-    return weights.select("ord", "block", F.col("ix").cast("bigint").alias("ix"), _r("weight", "weight"))
+    return weights.select("task", "ord", "block", F.col("ix").cast("bigint").alias("ix"), _r("weight", "weight"))
 
 
 @query
 def tfidf_fit(spark, sf_dir):
-    docs, train = _question_docs(spark, sf_dir)
-    return _long(features.tfidf_transform(docs, _vocabulary(train)))
+    return _long(_each_task(spark, sf_dir, lambda docs, train: features.tfidf_transform(docs, _vocabulary(train))))
 
 
 @query
 def tfidf_serve(spark, sf_dir):
-    docs, train = _question_docs(spark, sf_dir)
-    return _long(features.tfidf_serve(docs, _vocabulary(train)))
+    return _long(_each_task(spark, sf_dir, lambda docs, train: features.tfidf_serve(docs, _vocabulary(train))))
 
 
 @query
 def vector_entries(spark, sf_dir):
-    """All documents against the question vocabulary: entries and vector width."""
-    vocab = _vocabulary(_question_docs(spark, sf_dir)[1])
-    docs = views.documents(spark, sf_dir)
-    return features.vector_shape(docs, features.tfidf_serve(docs, vocab), vocab)
+    """Index and value of every entry of the served vectors."""
+    entries = _each_task(
+        spark, sf_dir, lambda docs, train: features.vector_entries(features.tfidf_serve(docs, _vocabulary(train)))
+    )
+    return entries.select("task", "ord", "ix", _r("value", "value"))
 
 
 @query
 def zero_vectors(spark, sf_dir):
-    """Documents that share no word with the confirmation vocabulary."""
+    """Question turns and customer names (below 0) that share no word with the confirmation vocabulary."""
     split = _balanced_split(spark, sf_dir)
     train = split.filter((F.col("task") == CONFIRMATION.name) & (F.col("split") == "train"))
-    vocab = _vocabulary(train).filter(F.col("block") == "word")
-    docs = views.questions(spark, sf_dir)
-    return features.zero_vectors(docs, features.tfidf_serve(docs, vocab))
+    vocab = materialize(features.fit_vocabulary(train, {"word": features.FIT_GRAMS["word"]}), "vocabulary")
+    names = load_table(spark, sf_dir, "customer").select((-1 - F.col("c_custkey")).alias("ord"), F.col("c_name").alias("text"))
+    docs = views.questions(spark, sf_dir).select("ord", "text").unionByName(names)
+    known = features.term_counts(docs, {"word": text_fn.words}).join(vocab.select("term"), "term")
+    return features.zero_vectors(docs, known)
 
 
 @query
 def skew(spark, sf_dir):
-    docs, train = _question_docs(spark, sf_dir)
-    cosines = features.skew(docs, _vocabulary(train))
-    return cosines.select("ord", "block", _r("cosine", "cosine"))
+    cosines = _each_task(spark, sf_dir, lambda docs, train: features.skew(docs, _vocabulary(train)))
+    return cosines.select("task", "ord", "block", _r("cosine", "cosine"))
 
 
-def _scored(spark, sf_dir) -> DataFrame:
-    docs, train = _question_docs(spark, sf_dir)
+def _test_scores(docs: DataFrame, train: DataFrame) -> DataFrame:
     test = docs.filter(F.col("split") == "test").select("ord", "text", "label")
     return jobs.train_text_task(train.select("ord", "text", "label"), test)[2]
 
 
 @query
 def classifier_predictions(spark, sf_dir):
-    return _scored(spark, sf_dir).select("ord", "label", "predicted", "probability")
+    scored = _each_task(spark, sf_dir, _test_scores)
+    return scored.select("task", "ord", "label", "predicted", "probability")
 
 
 @query
 def classifier_report(spark, sf_dir):
-    return classify.classification_report(classify.confusion(_scored(spark, sf_dir)))
+    return _each_task(
+        spark, sf_dir, lambda docs, train: classify.classification_report(classify.confusion(_test_scores(docs, train)))
+    )
 
 
 @query
 def classifier_loss(spark, sf_dir):
-    return classify.mean_loss(_scored(spark, sf_dir))
+    return _each_task(spark, sf_dir, lambda docs, train: classify.mean_loss(_test_scores(docs, train)))
 
 
 @query
