@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.common import blocks
-from textmill.operators.neardup import components
+from textmill.llm.graph import components, extend
 from textmill.runtime import materialize
 
 SHINGLE_WORDS = 5
@@ -250,16 +250,6 @@ def beside_hubs(missed: DataFrame, found: DataFrame, classes: DataFrame, texts:
     return direct.unionByName(compare(pairs, texts, width).filter(_linked(percent)).select("a", "b"))
 
 
-def _component_of(links: DataFrame) -> DataFrame:
-    """`(rep, component)` of the classes that have a link."""
-    return components(links, "a", "b").select(F.col("ord").alias("rep"), "component")
-
-
-def _star(found: DataFrame) -> DataFrame:
-    """Links that give the components again."""
-    return found.select(F.col("component").alias("a"), F.col("rep").alias("b")).filter("a < b")
-
-
 def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The pairs whose ends are in different components, with these, null for a class alone."""
     side = lambda name: found.select(F.col("rep").alias(name), F.col("component").alias(f"component_{name}"))
@@ -302,22 +292,23 @@ def near_components(
     first = (F.col("near.lag") == 1) & (F.col("near.tree") < FIRST_TREES)
     tried = materialize(compare(candidates.filter(first).select("a", "b"), texts, width), "compared")
     links = tried.filter(_linked(percent)).select("a", "b")
-    found = materialize(_component_of(links), "components")
+    found = materialize(components(links), "components")
     rest = _apart(candidates.filter(~first).select("a", "b"), found)
     more = materialize(compare(rest.select("a", "b"), texts, width), "compared")
     links = more.filter(_linked(percent)).select("a", "b")
-    found = materialize(_component_of(_star(found).unionByName(links)), "components")
+    found = materialize(extend(found, links), "components")
 
     failed = _apart(tried.unionByName(more).filter(~_linked(percent)).select("a", "b"), found)
     sides = failed.select(F.col("a").alias("rep"), F.col("component_b").alias("component")).unionByName(
         failed.select(F.col("b").alias("rep"), F.col("component_a").alias("component"))
     )
     missed = materialize(sides.filter("component IS NOT NULL").distinct(), "missed")
-    last = materialize(beside_hubs(missed, found, classes, texts, width, percent), "links")
 
     same = usable.join(classes.select("set_key", "rep"), "set_key").select("doc_id", "rep")
     twice = same.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("a", "b")
-    linked = materialize(_component_of(_star(found).unionByName(last).unionByName(twice)), "components")
+    if not missed.isEmpty():
+        twice = twice.unionByName(materialize(beside_hubs(missed, found, classes, texts, width, percent), "links"))
+    linked = materialize(extend(found, twice), "components")
 
     rows = signed.join(classes.select("set_key", "rep"), "set_key", "left").join(linked, "rep", "left")
     alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
