@@ -273,6 +273,23 @@ def test_near_group_of_many(spark):
     assert got == brute.components(list(enumerate(rows)), 4)
 
 
+def changed(base, words):
+    """`base` with the words of `words` at their places."""
+    return " ".join(words.get(k, w) for k, w in enumerate(base))
+
+
+def test_near_pairs_in_a_template(spark):
+    """Texts of one template that are not linked (Jaccard 0.72), and pairs among them that are (0.82)."""
+    base, places = [f"w{i}" for i in range(203)], range(10, 200, 24)
+    rows = [changed(base, {k: f"x{i}k{k}" for k in places}) for i in range(600)]
+    for i in range(0, 600, 20):
+        rows.append(changed(base, {k: f"x{i}k{k}" if n < 3 else f"y{i}k{k}" for n, k in enumerate(places)}))
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in forest.near_components(df, width=4).collect()}
+    assert got == brute.components(list(enumerate(rows)), 4)
+    assert len({c for _, c in got.values()}) == 600
+
+
 # op8
 
 

@@ -6,9 +6,10 @@ that order are the classes with the longest common prefix, however long it is th
 minima where texts differ, the whole label among near copies. Neighbours become candidates from
 `least_prefix` common minima on. Candidates are confirmed on the full shingle sets, first the nearest
 ones of some trees, then those of all trees that still lie in different components. A class has a
-bounded number of neighbours, so a group of any size costs in proportion to its size. Classes
-that came near a component without a link are then held against its members by way of its hub, see
-`beside_hubs`, as their few partners in a dense region may not be among their neighbours.
+bounded number of neighbours, so a group of any size costs in proportion to its size.
+
+The forest only makes the bulk of the links cheap: what it leaves in different components is joined
+exactly, see `prefixes` and `setjoin.open_pairs`, so that no link is lost.
 """
 
 from __future__ import annotations
@@ -25,14 +26,15 @@ from pyspark.sql import functions as F
 from textmill.llm.common import blocks
 from textmill.llm.graph import components, extend
 from textmill.runtime import materialize
+from textmill.setjoin import open_pairs
 
 SHINGLE_WORDS = 5
 PERCENT = 80
 TREES, DEPTH = 16, 8
 #: Common minima that neighbours need, neighbours on each side, and trees of the first confirmation.
 LEAST_PREFIX, REACH, FIRST_TREES = 2, 2, 2
-#: Minima by which a component's hub is found.
-HUB_MINIMA = 32
+#: Classes whose shingles are counted for the order of the exact join, and the most shingles ranked by such counts.
+COUNTED, RANKED = 20_000, 1 << 19
 #: Bytes of text of a block, or a single longer text.
 BLOCK_BYTES = 4 << 20
 #: Shingle sets that a confirming task keeps.
@@ -156,11 +158,11 @@ def neighbours(classes: DataFrame, trees: int, depth: int, least_prefix: int, re
     return found.filter("a IS NOT NULL").select("a", "b", "tree", "lag").unionByName(edges.mapInPandas(across, "a long, b long, tree int, lag int"))
 
 
-def compare(pairs: DataFrame, texts: DataFrame, width: int, extras: bool = False) -> DataFrame:
-    """`(a, b, size_a, size_b, both)` of the full sets of pairs `(a, b)`; with `extras` also the hashes that `a` alone has."""
+def compare(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """`(a, b, size_a, size_b, both)` of the full sets of pairs `(a, b)`."""
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    names = ["a", "b", "size_a", "size_b", "both", "extra"]
+    names = ["a", "b", "size_a", "size_b", "both"]
 
     def check(batches):
         sets: OrderedDict[int, np.ndarray] = OrderedDict()
@@ -175,79 +177,78 @@ def compare(pairs: DataFrame, texts: DataFrame, width: int, extras: bool = False
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                rows: list[list] = [[], [], [], []]
+                rows: list[list] = [[], [], []]
                 ids = [part.column(c).to_pylist() for c in ("a", "b")]
                 for i, (a, b) in enumerate(zip(*ids, strict=True)):
                     x, y = of(a, part.column("text_a")[i]), of(b, part.column("text_b")[i])
                     both = np.intersect1d(x, y, assume_unique=True)
-                    alone = np.setdiff1d(x, both, assume_unique=True).view(np.int64) if extras else None
-                    for column, value in zip(rows, (len(x), len(y), len(both), alone), strict=True):
+                    for column, value in zip(rows, (len(x), len(y), len(both)), strict=True):
                         column.append(value)
-                columns = [*ids, *rows[:3]]
-                arrays = [pa.array(c, pa.int64()) for c in columns] + [pa.array(rows[3], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(arrays, names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (*ids, *rows)], names)
 
     # Texts move by shuffle at any size; what is small here is not small in a large corpus.
     joined = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(check, "a long, b long, size_a long, size_b long, both long, extra array<long>")
+    return joined.mapInArrow(check, "a long, b long, size_a long, size_b long, both long")
 
 
 def _linked(percent: int):
     return 100 * F.col("both") >= percent * (F.col("size_a") + F.col("size_b") - F.col("both"))
 
 
-def _hubs(members: DataFrame, minima: int) -> DataFrame:
-    """`(component, hub)`: the member of each component whose minima are most often those that most members have."""
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).filter("doc_id IS NOT NULL AND text IS NOT NULL")
+
+
+def _usual(docs: DataFrame, classes: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles that several of about COUNTED classes have, with their counts; of more than RANKED the most usual."""
+    share = min(1.0, COUNTED / max(1, classes.count()))
+    counted = classes.filter(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < round(share * (1 << 20))).select(F.col("rep").alias("doc_id"))
 
     def spell(batches):
         for batch in batches:
-            values = np.frombuffer(b"".join(s[: 4 * minima] for s in batch.column("signature").to_pylist()), ">u4").astype(np.int64)
-            n = batch.num_rows
-            columns = [np.repeat(batch.column(c).to_numpy(), minima) for c in ("component", "rep")]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, np.tile(np.arange(minima), n), values)], ["component", "rep", "place", "value"])
-
-    rows = members.select("component", "rep", "signature").mapInArrow(spell, "component long, rep long, place long, value long")
-    rows = materialize(rows, "minima")
-    counts = rows.groupBy("component", "place", "value").count()
-    usual = counts.groupBy("component", "place").agg(F.max(F.struct("count", "value"))["value"].alias("value"))
-    scores = rows.join(usual, ["component", "place", "value"]).groupBy("component", "rep").count()
-    best = scores.groupBy("component").agg(F.max(F.struct("count", -F.col("rep")))["col2"].alias("_llm_hub"))
-    return best.select("component", (-F.col("_llm_hub")).alias("hub"))
-
-
-def beside_hubs(missed: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links `(a, b)` that the forest's neighbours did not show, of classes that came near a component and missed it.
-
-    `missed` are pairs `(rep, component)`. In a component of many near copies a class may be linked with few
-    members only, which need not be its neighbours. All are compared with the component's hub h. If a misses h,
-    then for a member c, |a & c| is at most min(|a & h|, |c & h|) plus the shingles that both have and
-    h has not. So only members remain that share such a shingle, or that are short enough without one; they
-    are found by joins on shingle and on size and compared in full.
-    """
-    near = missed.select("component").distinct()
-    members = materialize(found.join(near, "component").join(classes, "rep").select("component", "rep", "signature"), "members")
-    hubs = materialize(_hubs(members, HUB_MINIMA), "hubs")
-    asked = missed.select("rep", "component").withColumn("asks", F.lit(True))
-    held = members.select("rep", "component").withColumn("asks", F.lit(False))
-    sides = asked.unionByName(held).join(hubs, "component").select(F.col("rep").alias("a"), F.col("hub").alias("b"), "asks")
-    sides = materialize(sides.filter("a <> b"), "beside-hubs")
-    measured = materialize(compare(sides.select("a", "b").distinct(), texts, width, extras=True), "beside-hubs")
-    asks = measured.join(sides.filter("asks").select("a", "b").distinct(), ["a", "b"])
-    direct = asks.filter(_linked(percent)).select("a", "b")
-    rest = asks.filter(~_linked(percent)).select("b", F.col("a").alias("a_"), F.col("size_a").alias("s"), F.col("both").alias("i"), F.col("extra").alias("e"))
-    others = measured.join(sides.filter("NOT asks").select("a", "b").distinct(), ["a", "b"]).select("b", F.col("a").alias("c_"), F.col("size_a").alias("t"), F.col("both").alias("j"), F.col("extra").alias("f"))
-
-    # |a & c| * (100 + percent) >= percent * (|a| + |c|) is the condition for a link.
-    enough = lambda shared: (100 + percent) * (F.least("i", "j") + shared) >= percent * (F.col("s") + F.col("t"))
-    by_shingle = rest.select("b", "a_", "s", "i", F.explode("e").alias("x")).join(others.select("b", "c_", "t", "j", F.explode("f").alias("x")), ["b", "x"])
-    by_shingle = by_shingle.groupBy("a_", "c_", "s", "i", "t", "j").agg(F.count("*").alias("shared")).filter(enough(F.col("shared")))
-    least = others.groupBy("b").agg(F.min("t").alias("least"))
-    longest = F.floor((100 + percent) * F.col("i") / percent - F.col("s"))
-    short = rest.select("b", "a_", "s", "i").join(least, "b").withColumn("longest", longest).filter("longest >= least")
-    by_size = short.withColumn("t", F.explode(F.sequence("least", "longest"))).join(others.select("b", "c_", "t", "j"), ["b", "t"]).filter(enough(F.lit(0)))
-    pairs = by_shingle.select("a_", "c_").unionByName(by_size.select("a_", "c_")).filter("a_ <> c_")
-    pairs = pairs.select(F.least("a_", "c_").alias("a"), F.greatest("a_", "c_").alias("b")).distinct()
-    return direct.unionByName(compare(pairs, texts, width).filter(_linked(percent)).select("a", "b"))
+            for _, texts in blocks(batch.column(0), batch.column(1), BLOCK_BYTES):
+                hashes = np.concatenate([shingle_set(t, width) for t in texts])
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["x"])
+
+    shingles = _texts(docs).join(counted, "doc_id", "left_semi").mapInArrow(spell, "x long")
+    counts = materialize(shingles.groupBy("x").count().filter("count > 1"), "usual")
+    least, n = 1 << 62, 0
+    for count, held in counts.groupBy("count").agg(F.count("*")).orderBy(F.desc("count")).collect():
+        n += held
+        if n > RANKED:
+            break
+        least = count
+    usual = counts.filter(F.col("count") >= least).toPandas()
+    hashes, ranks = usual["x"].to_numpy(np.int64).view(np.uint64), usual["count"].to_numpy(np.int64)
+    order = np.argsort(hashes)
+    return hashes[order], ranks[order]
+
+
+def first_shingles(shingles: np.ndarray, usual: np.ndarray, ranks: np.ndarray, percent: int) -> np.ndarray:
+    """The shingles by rank and hash, as many as every set at `percent` shares one of."""
+    rank = np.zeros(len(shingles), np.int64)
+    if len(usual):
+        at = np.minimum(np.searchsorted(usual, shingles), len(usual) - 1)
+        rank = np.where(usual[at] == shingles, ranks[at], 0)
+    least = -(-percent * len(shingles) // 100)
+    return shingles[np.lexsort((shingles, rank))[: len(shingles) - least + 1]]
+
+
+def prefixes(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """`(rep, size, xs)`: the first shingles of each class, those that few of the counted classes have first."""
+    usual, ranks = _usual(docs, classes, width)
+
+    def cut(batches):
+        for batch in batches:
+            for ids, texts in blocks(batch.column(0), batch.column(1), BLOCK_BYTES):
+                sets = [shingle_set(t, width) for t in texts]
+                lists = [first_shingles(s, usual, ranks, percent).view(np.int64) for s in sets]
+                arrays = [pa.array(map(set_key, sets), pa.binary()), pa.array(ids, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(lists, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(arrays, ["set_key", "rep", "size", "xs"])
+
+    lists = _texts(docs).mapInArrow(cut, "set_key binary, rep long, size long, xs array<long>")
+    # Rows that repeat a doc_id have a list for each of their sets.
+    return lists.join(classes.select("set_key", "rep"), ["set_key", "rep"], "left_semi").dropDuplicates(["set_key"]).select("rep", "size", "xs")
 
 
 def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -282,10 +283,10 @@ def near_components(
         neighbours(classes, trees, depth, least_prefix, reach, percent).groupBy("a", "b").agg(F.min(F.struct("lag", "tree")).alias("near")), "candidates"
     )
     ends = candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).filter("text IS NOT NULL")
-    # Where rows repeat a doc_id, any one of their texts stands for it.
-    texts = texts.join(ends.hint("merge"), "doc_id", "left_semi")
-    if not usable.groupBy("doc_id").count().filter("count > 1").isEmpty():
+    # Where rows repeat a doc_id, any one of their texts stands for it in the forest.
+    texts = _texts(docs).join(ends.hint("merge"), "doc_id", "left_semi")
+    repeated = not usable.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    if repeated:
         texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
     texts = materialize(texts, "candidate-texts")
 
@@ -298,17 +299,18 @@ def near_components(
     links = more.filter(_linked(percent)).select("a", "b")
     found = materialize(extend(found, links), "components")
 
-    failed = _apart(tried.unionByName(more).filter(~_linked(percent)).select("a", "b"), found)
-    sides = failed.select(F.col("a").alias("rep"), F.col("component_b").alias("component")).unionByName(
-        failed.select(F.col("b").alias("rep"), F.col("component_a").alias("component"))
-    )
-    missed = materialize(sides.filter("component IS NOT NULL").distinct(), "missed")
-
     same = usable.join(classes.select("set_key", "rep"), "set_key").select("doc_id", "rep")
     twice = same.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("a", "b")
-    if not missed.isEmpty():
-        twice = twice.unionByName(materialize(beside_hubs(missed, found, classes, texts, width, percent), "links"))
-    linked = materialize(extend(found, twice), "components")
+    found = materialize(extend(found, twice), "components")
+
+    lists = prefixes(docs, classes, width, percent).join(found, "rep", "left")
+    lists = materialize(lists.select("rep", F.coalesce("component", "rep").alias("component"), "size", "xs"), "prefixes")
+    pairs = materialize(open_pairs(lists, percent / 100), "open-pairs")
+    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    texts = _texts(docs).join(ends.hint("merge"), "doc_id", "left_semi")
+    # Here every text of a repeated doc_id is compared.
+    texts = materialize(texts.distinct() if repeated else texts, "open-texts")
+    linked = materialize(extend(found, compare(pairs, texts, width).filter(_linked(percent)).select("a", "b")), "components")
 
     rows = signed.join(classes.select("set_key", "rep"), "set_key", "left").join(linked, "rep", "left")
     alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
