@@ -290,6 +290,25 @@ def test_near_pairs_in_a_template(spark):
     assert len({c for _, c in got.values()}) == 600
 
 
+def test_near_bridged_groups(spark):
+    """Couples of groups of near copies, linked by one pair only, by a forest of few trees: what it misses is joined exactly."""
+    places, n, rows = range(5, 200, 30), 300, []
+    for g in (6, 7):
+        one = [f"g{g}w{i}" for i in range(203)]
+        two = changed(one, {k: f"g{g}v{k}" for k in places}).split()
+        ends = changed(one, {k: two[k] for k in [*places][:1]}), changed(two, {k: one[k] for k in [*places][-1:]})
+        for base, end in zip((one, two), ends, strict=True):
+            copies = [changed(base, {(7 * i) % 203: f"g{g}x{i}"}) for i in range(n)]
+            rows += [*copies[: n // 2], end, *copies[n // 2 :]]
+        x, y = (brute.shingles(e, 4) for e in ends)
+        assert 0.8 <= len(x & y) / len(x | y) < 0.83
+        x, y = (brute.shingles(t, 4) for t in (ends[0], " ".join(two)))
+        assert len(x & y) / len(x | y) < 0.79
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in forest.near_components(df, width=4, trees=4).collect()}
+    assert got == {i: i - i % (2 * n + 2) for i in range(len(rows))}
+
+
 # op8
 
 
