@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import chat, exact, forest, lines, mixing, packing, quality, secrets, sharding, tokens
+from textmill.llm import chat, exact, forest, lines, mixing, packing, quality, runs, secrets, sharding, tokens
 from textmill.llm.common import read_table
 
 
@@ -52,6 +52,10 @@ def op10_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.group_copies(read_table(spark, sf_dir, "documents"))
 
 
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(runs.periodic_runs(read_table(spark, sf_dir, "documents"), runs.planted))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -65,5 +69,6 @@ QUERIES = {
         op8_lines,
         op9_quality,
         op10_copies,
+        op12_runs,
     )
 }
