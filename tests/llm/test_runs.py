@@ -22,10 +22,11 @@ def brute_runs(found):
     for q in range(1, n // 4 + 1):
         same = np.concatenate([[False], ids[:-q] == ids[q:], [False]])
         edges = np.flatnonzero(same[1:] != same[:-1])
-        for a, b in zip(edges[::2], edges[1::2]):
+        long = edges[1::2] - edges[::2] + q >= max(6, 4 * q)
+        for a, b in zip(edges[::2][long], edges[1::2][long]):
             start, length = int(a), int(b - a) + q
             part = ids[start : start + length]
-            if length >= max(6, 4 * q) and not any((part[:-d] == part[d:]).all() for d in range(1, q)):
+            if not any((part[:-d] == part[d:]).all() for d in range(1, q)):
                 out.append((start, length, q))
     return sorted(out, key=lambda r: (r[0], r[2]))
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import chat, exact, forest, lines, mixing, packing, quality, runs, secrets, sharding, tokens
+from textmill.llm import align, chat, exact, forest, lines, mixing, packing, quality, runs, secrets, sharding, tokens
 from textmill.llm.common import read_table
 
 
@@ -52,6 +54,11 @@ def op10_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.group_copies(read_table(spark, sf_dir, "documents"))
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sha = lambda groups: hashlib.sha256(groups.encode()).hexdigest()
+    return align.align_tokens(read_table(spark, sf_dir, "documents"), form=sha).withColumnRenamed("groups", "groups_sha256")
+
+
 def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_digests(runs.periodic_runs(read_table(spark, sf_dir, "documents"), runs.planted))
 
@@ -69,6 +76,7 @@ QUERIES = {
         op8_lines,
         op9_quality,
         op10_copies,
+        op11_align,
         op12_runs,
     )
 }
