@@ -8,7 +8,7 @@ the fragments of a very long document, made by many tasks, are reduced in a tree
 
 A text is tokenized in parts: neither tokenizer has a token across a single space between two other characters (the
 first starts a pre-token there, the second has no piece with a space after another character), so each
-distinct part of a block is encoded once, and a very long text in spans that end at such spaces.
+distinct part of a block is encoded and aligned once, and a very long text in spans that end at such spaces.
 
 Pairs of ids that some document links are counted over the whole corpus. The most frequent ones, at most
 `MOST_BROADCAST`, go to every task as one sorted table; each of the others is in fewer documents than any of those,
@@ -17,11 +17,12 @@ so that a join by shuffle has no hot key.
 
 from __future__ import annotations
 
-import os
+import json
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -35,15 +36,15 @@ from textmill.runtime import materialize
 
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of text of a block, or a single longer text.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 4 << 20
 #: Bytes from which a document is cut into spans of at least so many characters, whose fragments cover ranges of so many bytes.
 LONG_BYTES, SPAN_CHARS, RANGE_BYTES = 1 << 16, 1 << 15, 1 << 14
 #: Fragments that one step of the tree composes, about.
 FAN = 16
 #: Id pairs whose counts are sent to every task.
 MOST_BROADCAST = 1 << 20
-#: Distinct parts whose ids a worker keeps, and the most characters of a part that is kept.
-PARTS_KEPT, PART_CHARS = 100_000, 40
+#: Parts that the second tokenizer takes as one line.
+LINE_PARTS = 64
 #: Ids are below this, so that two of them make one number.
 WIDTH = 1 << 20
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -57,25 +58,57 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
+def rank_encoding(path: str):
+    """The byte-level BPE vocabulary of a `tokenizers` file as ranks, which encodes several times faster.
+
+    The ids are the same if each merge makes the id after that of the merge before it and bytes come first, which is checked
+    for every entry. The pattern of pre-tokens is the one of `ByteLevel` with its regex. Special tokens are left out.
+    """
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, encoding="utf-8") as lines:
+        file = json.load(lines)
+    model, back = file["model"], _byte_level()
+    special = {t["content"] for t in file["added_tokens"]}
+    decode = lambda token: bytes(back[c] for c in token)
+    ranks = {decode(token): i for token, i in model["vocab"].items() if token not in special}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    if sorted(ranks.values()) != list(range(len(ranks))) or any(ranks[decode(x + y)] != 256 + i for i, (x, y) in enumerate(merges)):
+        raise ValueError(f"the merges of {path} are not in the order of their ids")
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), ranks
+
+
+def ragged(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places `first[i]` to `first[i] + n[i] - 1` of all i, one after the other."""
+    upto = np.cumsum(n)
+    return np.repeat(first - upto + n, n) + np.arange(upto[-1] if len(n) else 0)
+
+
+@dataclass
+class Spelling:
+    """Both sides' ids of some parts: a part's ids are `n` ones from `first` on. `right`: they spell a space and the part."""
+
+    ids: list[np.ndarray]
+    first: list[np.ndarray]
+    n: list[np.ndarray]
+    right: np.ndarray
+
+
 class TokenizerPair:
     """Ids of text parts by both tokenizers, and the bytes of all ids."""
 
     def __init__(self, first: str, second: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.first = Tokenizer.from_file(first)
-        self.first.encode_special_tokens = True
+        self.first, ranks = rank_encoding(first)
         self.second = sentencepiece.SentencePieceProcessor(model_file=second)
-        back = _byte_level()
-        decode = lambda token: bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
-        tokens = [self.first.id_to_token(i) or "" for i in range(self.first.get_vocab_size())]
-        self.bytes = [[decode(t) for t in tokens], [self._piece(i) for i in range(self.second.get_piece_size())]]
+        self.bytes = [[b""] * len(ranks), [self._piece(i) for i in range(self.second.get_piece_size())]]
+        for token, rank in ranks.items():
+            self.bytes[0][rank] = token
         if max(map(len, self.bytes)) > WIDTH:
             raise ValueError(f"vocabularies have at most {WIDTH} ids")
         self.sizes = [np.array(list(map(len, table)), np.int64) for table in self.bytes]
-        self.known: dict[str, tuple[list[int], list[int], bool]] = {}
         # Decimal ids with what may follow them in the text of groups.
         self.names = np.array([f"{i}{end}" for end in (",", "|", ";") for i in range(max(map(len, self.bytes)))], dtype=object)
 
@@ -83,22 +116,48 @@ class TokenizerPair:
         piece = self.second.id_to_piece(i)
         return bytes([int(piece[3:-1], 16)]) if self.second.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, parts: list[str]) -> list[tuple[list[int], list[int], bool]]:
-        """Both sides' ids of a space and each part, and whether both spell just that."""
-        new = [p for p in dict.fromkeys(parts) if p not in self.known]
-        if len(self.known) + len(new) > PARTS_KEPT:
-            self.known.clear()
-            new = list(dict.fromkeys(parts))
-        a = [e.ids for e in self.first.encode_batch([" " + p for p in new], add_special_tokens=False)] if new else []
-        b = self.second.encode(new, num_threads=1) if new else []
-        fresh = {}
-        for part, x, y in zip(new, a, b, strict=True):
-            text = b" " + part.encode()
-            spelt = [b"".join(map(table.__getitem__, ids)) for table, ids in zip(self.bytes, (x, y), strict=True)]
-            fresh[part] = (x, y, spelt == [text, text])
-        out = [fresh[p] if p in fresh else self.known[p] for p in parts]
-        self.known.update((p, v) for p, v in fresh.items() if len(p) <= PART_CHARS)
-        return out
+    def encode(self, side: int, parts: list[str]) -> np.ndarray:
+        """Ids of `parts`, each after a space, one after the other; all but one part alone must begin and end with other characters."""
+        if side == 0:
+            return np.array(self.first.encode_ordinary(" " + " ".join(parts)), np.int64)
+        lines = [" ".join(parts[i : i + LINE_PARTS]) for i in range(0, len(parts), LINE_PARTS)]
+        return np.fromiter(chain.from_iterable(self.second.encode(lines, num_threads=1)), np.int64)
+
+    def _alone(self, side: int, parts: list[str], raw: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+        ids = [self.encode(side, [p]) for p in parts]
+        return ids, np.array([b"".join(map(self.bytes[side].__getitem__, x.tolist())) == r for x, r in zip(ids, raw, strict=True)], bool)
+
+    def spell(self, parts: list[str]) -> Spelling:
+        """Both sides' ids of distinct parts: of most of them in one call, of those with white space at an end by themselves."""
+        plain = np.array([p == p.strip() and p != "" and "▁" not in p for p in parts], bool)
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        raw = [b" " + parts[i].encode() for i in order]
+        n_plain = int(plain.sum())
+        simple, odd = [parts[i] for i in order[:n_plain]], [parts[i] for i in order[n_plain:]]
+        bounds, joined = np.cumsum([0, *map(len, raw[:n_plain])]), b"".join(raw[:n_plain])
+        spelling = Spelling([], [], [], np.ones(len(parts), bool))
+        for side in (0, 1):
+            ids = self.encode(side, simple) if simple else np.zeros(0, np.int64)
+            ends = np.concatenate([[0], np.cumsum(self.sizes[side][ids])])
+            upto = np.searchsorted(ends, bounds)
+            right = np.ones(len(order), bool)
+            if b"".join(map(self.bytes[side].__getitem__, ids.tolist())) != joined or (ends[upto] != bounds).any():
+                lists, right[:n_plain] = self._alone(side, simple, raw[:n_plain])
+                ids, upto = np.concatenate(lists), np.cumsum([0, *map(len, lists)])
+            lists, right[n_plain:] = self._alone(side, odd, raw[n_plain:])
+            upto = np.concatenate([upto, len(ids) + np.cumsum([len(x) for x in lists], dtype=np.int64)])
+            first, n = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
+            first[order], n[order] = upto[:-1], np.diff(upto)
+            spelling.ids.append(np.concatenate([ids, *lists]))
+            spelling.first.append(first)
+            spelling.n.append(n)
+            spelling.right[order] &= right
+        return spelling
+
+    def tokens(self, spelling: Spelling, codes: np.ndarray) -> Tokens:
+        """Tokens of the parts `codes`, one after the other."""
+        a, b = (ids[ragged(first[codes], n[codes])] for ids, first, n in zip(spelling.ids, spelling.first, spelling.n, strict=True))
+        return Tokens(a, np.cumsum(self.sizes[0][a]), b, np.cumsum(self.sizes[1][b]))
 
 
 @cache
@@ -125,18 +184,27 @@ class Tokens:
     def __add__(self, other: Tokens) -> Tokens:
         return Tokens(*(np.concatenate([getattr(self, f), getattr(other, f)]) for f in ("a", "a_end", "b", "b_end")))
 
-    def common(self) -> np.ndarray:
-        return np.intersect1d(self.a_end, self.b_end, assume_unique=True)
-
 
 NONE = Tokens(*[np.zeros(0, np.int64)] * 4)
 
 
-def linked_pairs(tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
-    """Ends of the stretches that no token boundary cuts, and the id pair `a * WIDTH + b` over each: every overlap of two tokens once."""
-    ends = np.union1d(tokens.a_end, tokens.b_end)
-    a, b = np.searchsorted(tokens.a_end, ends), np.searchsorted(tokens.b_end, ends)
-    return ends, tokens.a[a] * WIDTH + tokens.b[b]
+def overlaps(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The common ends of both sides, the ends of the stretches that no end of a token cuts, and the id pair over each stretch.
+
+    Every overlap of two tokens is one stretch. A pair is `a * WIDTH + b`.
+    """
+    if not len(tokens.a) and not len(tokens.b):
+        return (np.zeros(0, np.int64),) * 3
+    low = min(x[0] for x in (tokens.a_end, tokens.b_end) if len(x))
+    mark = np.zeros(max(x[-1] for x in (tokens.a_end, tokens.b_end) if len(x)) - low + 1, np.uint8)
+    mark[tokens.a_end - low] = 1
+    mark[tokens.b_end - low] += 2
+    at = np.flatnonzero(mark)
+    mark = mark[at]
+    a, b = np.cumsum(mark & 1) - (mark & 1), np.cumsum(mark >> 1) - (mark >> 1)
+    # Stretches after the last end of a side lie in a token that ends later.
+    inside = (a < len(tokens.a)) & (b < len(tokens.b))
+    return at[mark == 3] + low, at[inside] + low, tokens.a[a[inside]] * WIDTH + tokens.b[b[inside]]
 
 
 def group_texts(tokens: Tokens, common: np.ndarray, names: np.ndarray) -> tuple[list[str], np.ndarray]:
@@ -166,13 +234,12 @@ class Fragment:
 
     @classmethod
     def of(cls, tokens: Tokens, names: np.ndarray) -> Fragment:
-        common = tokens.common()
-        none = np.zeros(0, np.int64)
+        common, none = overlaps(tokens)[0], np.zeros(0, np.int64)
         if not len(common):
             return cls(len(tokens.a), len(tokens.b), False, tokens, NONE, 0, "", none, none)
         inner = tokens.between(common[0], common[-1])
         texts, _ = group_texts(inner, common[1:], names)
-        pairs, times = np.unique(linked_pairs(inner)[1], return_counts=True)
+        pairs, times = np.unique(overlaps(inner)[2], return_counts=True)
         far = np.iinfo(np.int64).max
         return cls(len(tokens.a), len(tokens.b), True, tokens.between(-1, common[0]), tokens.between(common[-1], far), len(common) - 1, "".join(texts), pairs, times)
 
@@ -184,8 +251,9 @@ class Fragment:
         if not other.cut:
             return Fragment(n_a, n_b, True, self.prefix, self.suffix + other.prefix, self.n_groups, self.closed, self.pairs, self.times)
         middle = self.suffix + other.prefix
-        text = "".join(group_texts(middle, middle.common(), names)[0])
-        found = np.concatenate([self.pairs, linked_pairs(middle)[1], other.pairs])
+        common, _, links = overlaps(middle)
+        text = "".join(group_texts(middle, common, names)[0])
+        found = np.concatenate([self.pairs, links, other.pairs])
         times = np.concatenate([self.times, np.ones(len(found) - len(self.pairs) - len(other.pairs), np.int64), other.times])
         pairs, at = np.unique(found, return_inverse=True)
         total = np.bincount(at, weights=times, minlength=len(pairs)).astype(np.int64)
@@ -196,15 +264,6 @@ class Fragment:
 START = Fragment(0, 0, True, NONE, NONE, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def tokens_of(pair: TokenizerPair, coded: list[tuple[list[int], list[int], bool]]) -> tuple[Tokens, np.ndarray]:
-    """Tokens of encoded parts one after the other, and where each part ends."""
-    a = np.fromiter((i for x in coded for i in x[0]), np.int64)
-    b = np.fromiter((i for x in coded for i in x[1]), np.int64)
-    tokens = Tokens(a, np.cumsum(pair.sizes[0][a]), b, np.cumsum(pair.sizes[1][b]))
-    upto = np.cumsum([len(x[0]) for x in coded], dtype=np.int64)
-    return tokens, np.concatenate([[0], tokens.a_end])[upto]
-
-
 def split_parts(text: bytes | None) -> list[str]:
     """A text between its single spaces; none if it is empty or no UTF-8."""
     try:
@@ -214,34 +273,41 @@ def split_parts(text: bytes | None) -> list[str]:
 
 
 def align_block(pair: TokenizerPair, texts: list[bytes | None], form: Callable[[str], str]) -> list[tuple]:
-    """`(n_a, n_b, n_groups, n_links, groups, pairs, times)` of each text, all texts of the block in one go."""
+    """`(n_a, n_b, n_groups, n_links, groups, pairs, times)` of each text.
+
+    A part is a closed fragment, made once for all its places in the block; a text is composed of those of its parts.
+    """
     none = np.zeros(0, np.int64)
     out: list[tuple] = [(0, 0, 0, 0, "", none, none)] * len(texts)
     split = [split_parts(t) for t in texts]
-    spelt, coded, right, at = pair.encode([p for parts in split for p in parts]), [], [], 0
-    for i, parts in enumerate(split):
-        own = spelt[at : at + len(parts)]
-        at += len(parts)
-        if parts and all(x[2] for x in own):
-            right.append(i)
-            coded += own
-    if not right:
+    coded = pa.array(chain.from_iterable(split), pa.large_string()).dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    owner = np.repeat(np.arange(len(split)), [len(parts) for parts in split])
+    spelling = pair.spell(coded.dictionary.to_pylist())
+    wrong = np.zeros(len(split), bool)
+    wrong[owner[~spelling.right[codes]]] = True
+    codes, owner = codes[~wrong[owner]], owner[~wrong[owner]]
+    if not len(codes):
         return out
-    tokens, ends = tokens_of(pair, coded)
-    ends = ends[np.cumsum([len(split[i]) for i in right]) - 1]
-    common = tokens.common()
+    used, codes = np.unique(codes, return_inverse=True)
+    tokens = pair.tokens(spelling, used)
+    common, ends, links = overlaps(tokens)
+    part_ends = tokens.a_end[np.cumsum(spelling.n[0][used]) - 1]
     names, before = group_texts(tokens, common, pair.names)
-    found, links = linked_pairs(tokens)
-    keys, times = np.unique(np.searchsorted(ends, found) * WIDTH * WIDTH + links, return_counts=True)
-    owner = np.searchsorted(keys, np.arange(len(right) + 1) * WIDTH * WIDTH)
-    groups = np.searchsorted(common, ends, side="right")
-    upto = [0, *before[groups].tolist()]
-    counted = [np.searchsorted(x, ends, side="right") for x in (tokens.a_end, tokens.b_end, common, found)]
-    counted = [np.diff(x, prepend=0).tolist() for x in counted]
-    for k, i in enumerate(right):
-        own = slice(owner[k], owner[k + 1])
-        text = "".join(names[upto[k] : upto[k + 1]])[:-1]
-        out[i] = (*(x[k] for x in counted), form(text), keys[own] - k * WIDTH * WIDTH, times[own])
+    upto = [np.searchsorted(x, part_ends, side="right") for x in (tokens.a_end, tokens.b_end, common, ends)]
+    counted = [np.diff(x, prepend=0) for x in upto]
+    bounds = [0, *before[upto[2]].tolist()]
+    written = ["".join(names[x:y]) for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
+    found = links[ragged(upto[3][codes] - counted[3][codes], counted[3][codes])]
+    space = WIDTH * WIDTH
+    keys, times = np.unique(np.repeat(owner, counted[3][codes]) * space + found, return_counts=True)
+    totals = [np.bincount(owner, x[codes], len(texts)).astype(np.int64).tolist() for x in counted]
+    at, own = np.searchsorted(owner, np.arange(len(texts) + 1)), np.searchsorted(keys, np.arange(len(texts) + 1) * space)
+    places = codes.tolist()
+    for i in np.unique(owner).tolist():
+        text = "".join(map(written.__getitem__, places[at[i] : at[i + 1]]))[:-1]
+        mine = slice(own[i], own[i + 1])
+        out[i] = (*(x[i] for x in totals), form(text), keys[mine] - i * space, times[mine])
     return out
 
 
@@ -309,13 +375,14 @@ def fragments(spans: DataFrame, locate: Callable[[], TokenizerPair], range_bytes
         for frame in frames:
             rows = []
             for row, doc_id, start, text in frame.itertuples(index=False):
-                coded = pair.encode(_SAFE.split(text))
-                right = start >= 0 and all(x[2] for x in coded)
+                coded = pa.array(_SAFE.split(text), pa.large_string()).dictionary_encode()
+                spelling = pair.spell(coded.dictionary.to_pylist())
+                right = start >= 0 and bool(spelling.right.all())
                 start, end, tokens = max(start, 0), start, NONE
                 if right:
-                    tokens, ends = tokens_of(pair, coded)
+                    tokens = pair.tokens(spelling, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64))
                     tokens = Tokens(tokens.a, tokens.a_end + start, tokens.b, tokens.b_end + start)
-                    end = start + int(ends[-1])
+                    end = int(tokens.a_end[-1])
                 for low in [start, *range(start - start % range_bytes + range_bytes, end, range_bytes)]:
                     high = min(end, low - low % range_bytes + range_bytes)
                     rows.append(_pack(row, None if pd.isna(doc_id) else int(doc_id), low, right, Fragment.of(tokens.between(low, high), pair.names)))
