@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import align, chat, exact, forest, lines, mixing, packing, quality, runs, secrets, sharding, tokens
+from textmill.llm import align, chat, exact, forest, lines, mixing, packing, partitions, quality, runs, secrets, sharding, tokens
 from textmill.llm.common import read_table
 
 
@@ -63,6 +63,10 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_digests(runs.periodic_runs(read_table(spark, sf_dir, "documents"), runs.planted))
 
 
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partitions.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -78,5 +82,6 @@ QUERIES = {
         op10_copies,
         op11_align,
         op12_runs,
+        op13_nearest,
     )
 }
