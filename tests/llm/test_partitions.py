@@ -59,7 +59,7 @@ def test_whole_table(spark):
 @pytest.mark.parametrize("length", [False, True])
 def test_recall_of_many_parts(spark, monkeypatch, length):
     """Several parts, fewer probes than parts, a bounded sample: recall, and exact scores in order."""
-    for name, value in {"PART_ROWS": 150, "FIT_ROWS": 2_000, "HELD_OUT": 200, "LEAST_BLOCK": 64, "MOST_BLOCK": 100, "QUERY_BLOCK": 50, "EPOCHS": 20}.items():
+    for name, value in {"LEAST_PARTS": 16, "FIT_ROWS": 2_000, "HELD_OUT": 200, "ROW_BLOCK": 100, "QUERY_BLOCK": 50, "EPOCHS": 20}.items():
         monkeypatch.setattr(partitions, name, value)
     x = vectors(4_000, length=length)
     fitted = []
@@ -86,7 +86,7 @@ def test_parts_are_balanced_and_cut_few_edges():
     assert cut < 0.5 * np.mean(shuffled[graph.a] != shuffled[graph.b])
 
 
-@pytest.mark.parametrize("blocks", [{}, {"LEAST_BLOCK": 8, "MOST_BLOCK": 8, "QUERY_BLOCK": 3}])
+@pytest.mark.parametrize("blocks", [{}, {"ROW_BLOCK": 8, "QUERY_BLOCK": 3}])
 def test_ties_and_one_common_vector(spark, monkeypatch, blocks):
     """A third of all rows are one vector: its neighbours are the smallest ids, in one block or in many."""
     for name, value in blocks.items():

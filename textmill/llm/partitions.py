@@ -29,14 +29,14 @@ from textmill.runtime import materialize
 
 #: Vectors the index is fitted on at most, those of them held out for the number of probes, and neighbours in the graph.
 FIT_ROWS, HELD_OUT, DEGREE = 16_000, 1_000, 10
-#: Rows that a part should have, and the most parts.
-PART_ROWS, MOST_PARTS = 800, 256
+#: Rows that a part should have, and the fewest and most parts.
+PART_ROWS, LEAST_PARTS, MOST_PARTS = 32_768, 32, 256
 #: Recall of the held-out queries that the number of probes must reach.
 RECALL = 0.95
 #: Hidden units, passes over the sample, rows of a step and step size of the classifier.
 HIDDEN, EPOCHS, STEP_ROWS, RATE = 128, 40, 256, 3e-3
-#: Fewest and most rows of a block, blocks a part is cut into between these, and most queries of a block.
-LEAST_BLOCK, MOST_BLOCK, BLOCKS, QUERY_BLOCK = 2_048, 65_536, 16, 2_048
+#: Most rows and queries of a block.
+ROW_BLOCK, QUERY_BLOCK = 32_768, 2_048
 #: Queries that are multiplied with a block at once.
 AT_ONCE = 128
 #: Relative error that inner products of a matrix product may have.
@@ -179,7 +179,7 @@ def fit(sample: np.ndarray, norm: float, n_rows: int, k: int) -> Router:
     rng = np.random.default_rng(7)
     sample = np.unique(sample, axis=0)
     rng.shuffle(sample)
-    wanted = min(MOST_PARTS, max(2, n_rows // PART_ROWS), len(sample) // (4 * DEGREE))
+    wanted = min(MOST_PARTS, max(LEAST_PARTS, n_rows // PART_ROWS), len(sample) // (4 * DEGREE))
     n_parts = 1 << max(0, wanted.bit_length() - 1)
     if n_parts == 1:
         return Router([np.zeros((sample.shape[1] + 1, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1)], norm, 1, 1)
@@ -300,7 +300,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_column: str = "ve
     asked = np.zeros(router.n_parts, np.int64)
     for part, n in sent.groupBy("part").count().collect():
         asked[part] = n
-    row_blocks = [max(1, -(-int(n) // min(MOST_BLOCK, max(LEAST_BLOCK, int(n) // BLOCKS)))) for n in sizes]
+    row_blocks = [max(1, -(-int(n) // ROW_BLOCK)) for n in sizes]
     query_blocks = [max(1, -(-int(n) // QUERY_BLOCK)) for n in asked]
     own = lambda counts: F.pmod(F.xxhash64("row"), _number(counts).cast("long")).cast("int")
     every = lambda counts: F.explode(F.sequence(F.lit(0), _number(counts) - 1))
