@@ -681,6 +681,14 @@ FROM x_score""",
         select="SELECT ord, cluster FROM l_cluster",
         recursive=True,
     ),
+    "near_dup_exact": _with(
+        DOCS,
+        _near("SELECT ord, text FROM d_docs", CLASSIFICATION.near_dup_threshold),
+        select="""
+SELECT ord, coalesce(n, 0) AS shingles, coalesce(cluster, ord) AS cluster
+FROM d_docs LEFT JOIN (SELECT ord, count(*) AS n FROM l_set GROUP BY ord) USING (ord) LEFT JOIN l_cluster USING (ord)""",
+        recursive=True,
+    ),
     "dedupe_near": _with(
         DOCS,
         _near("SELECT ord, text FROM d_docs", CLASSIFICATION.near_dup_threshold),

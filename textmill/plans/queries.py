@@ -547,6 +547,13 @@ def near_dup_lsh(spark, sf_dir):
     return found.select("ord", F.col("component").alias("cluster"))
 
 
+@query
+def near_dup_exact(spark, sf_dir):
+    """Every document with its class of near duplicates, without MinHash."""
+    found = neardup.near_dup_exact(views.documents(spark, sf_dir), CLASSIFICATION.near_dup_threshold)
+    return found.select("ord", "shingles", F.col("component").alias("cluster"))
+
+
 @query
 def dedupe_near(spark, sf_dir):
     kept = neardup.dedupe_near(
