@@ -26,15 +26,15 @@ from pyspark.sql import functions as F
 from textmill.llm.common import blocks
 from textmill.llm.graph import components, extend
 from textmill.runtime import materialize
-from textmill.setjoin import open_pairs
+from textmill.setjoin import COUNTED, SET_COLUMNS, SET_SCHEMA, frequent_members, open_pairs, order_table, set_columns
 
 SHINGLE_WORDS = 5
 PERCENT = 80
 TREES, DEPTH = 16, 8
 #: Common minima that neighbours need, neighbours on each side, and trees of the first confirmation.
 LEAST_PREFIX, REACH, FIRST_TREES = 2, 2, 2
-#: Classes whose shingles are counted for the order of the exact join, and the most shingles ranked by such counts.
-COUNTED, RANKED = 20_000, 1 << 19
+#: Frequent shingles of a row of the table that hands them on.
+SEEN_ROW = 1 << 16
 #: Bytes of text of a block, or a single longer text.
 BLOCK_BYTES = 4 << 20
 #: Shingle sets that a confirming task keeps.
@@ -78,18 +78,37 @@ def set_key(shingles: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, width: int, trees: int, depth: int) -> DataFrame:
-    """`(doc_id, n_shingles, set_key, signature)`, one row per row of `docs`."""
-    schema = "doc_id long, n_shingles long, set_key binary, signature binary"
+    """`(doc_id, n_shingles, set_key, signature, seen, times)`, one row per row of `docs`.
+
+    Further rows, with `n_shingles` -1, hold in `seen` the shingles that several of the texts of a part of a task have, and their numbers.
+    """
+    schema = "doc_id long, n_shingles long, set_key binary, signature binary, seen array<long>, times array<long>"
+    names = [c.split()[0] for c in schema.split(", ")]
+    lists = pa.list_(pa.int64())
+
+    def frequent(sets):
+        for x, n in frequent_members(iter([*sets, None])):
+            for at in range(0, len(x), SEEN_ROW):
+                seen, times = (pa.array([v[at : at + SEEN_ROW].astype(np.int64)], lists) for v in (x, n))
+                yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([-1], pa.int64()), *[pa.array([None], pa.binary())] * 2, seen, times], names)
 
     def sign(batches):
         a, b = _coefficients(trees * depth)
+        held, size = [], 0
         for batch in batches:
             for ids, texts in blocks(batch.column(0), batch.column(1), BLOCK_BYTES):
                 sets = [shingle_set(t or b"", width) for t in texts]
+                none = pa.nulls(len(ids), lists)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(map(set_key, sets), pa.binary()), pa.array([signature(s, a, b) for s in sets], pa.binary())],
-                    ["doc_id", "n_shingles", "set_key", "signature"],
+                    [pa.array(ids, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(map(set_key, sets), pa.binary()), pa.array([signature(s, a, b) for s in sets], pa.binary()), none, none],
+                    names,
                 )
+                held += sets
+                size += sum(map(len, sets))
+                if size >= COUNTED:
+                    yield from frequent(held)
+                    held, size = [], 0
+        yield from frequent(held)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(sign, schema)
 
@@ -199,56 +218,30 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).filter("doc_id IS NOT NULL AND text IS NOT NULL")
 
 
-def _usual(docs: DataFrame, classes: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted shingles that several of about COUNTED classes have, with their counts; of more than RANKED the most usual."""
-    share = min(1.0, COUNTED / max(1, classes.count()))
-    counted = classes.filter(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < round(share * (1 << 20))).select(F.col("rep").alias("doc_id"))
+def _holding(texts: DataFrame, ends: DataFrame) -> DataFrame:
+    """The `texts` of the ids `ends`. A bitmap of their hashes, 2 MB at any size, keeps most of the others out of the shuffle."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 24))
+    spot, bit = F.floor(place / 32768), (place % 32768).cast("int")
+    maps = ends.groupBy(spot.alias("_spot")).agg(F.bitmap_construct_agg(bit).alias("_map"))
+    marked = texts.withColumns({"_spot": spot, "_bit": bit}).join(F.broadcast(maps), "_spot")
+    byte = F.conv(F.hex(F.expr("substring(_map, _bit div 8 + 1, 1)")), 16, 10).cast("int")
+    return marked.filter(F.getbit(byte, F.col("_bit") % 8) == 1).select(texts.columns).join(ends.hint("merge"), "doc_id", "left_semi")
 
-    def spell(batches):
-        for batch in batches:
-            for _, texts in blocks(batch.column(0), batch.column(1), BLOCK_BYTES):
-                hashes = np.concatenate([shingle_set(t, width) for t in texts])
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["x"])
-
-    shingles = _texts(docs).join(counted, "doc_id", "left_semi").mapInArrow(spell, "x long")
-    counts = materialize(shingles.groupBy("x").count().filter("count > 1"), "usual")
-    least, n = 1 << 62, 0
-    for count, held in counts.groupBy("count").agg(F.count("*")).orderBy(F.desc("count")).collect():
-        n += held
-        if n > RANKED:
-            break
-        least = count
-    usual = counts.filter(F.col("count") >= least).toPandas()
-    hashes, ranks = usual["x"].to_numpy(np.int64).view(np.uint64), usual["count"].to_numpy(np.int64)
-    order = np.argsort(hashes)
-    return hashes[order], ranks[order]
-
-
-def first_shingles(shingles: np.ndarray, usual: np.ndarray, ranks: np.ndarray, percent: int) -> np.ndarray:
-    """The shingles by rank and hash, as many as every set at `percent` shares one of."""
-    rank = np.zeros(len(shingles), np.int64)
-    if len(usual):
-        at = np.minimum(np.searchsorted(usual, shingles), len(usual) - 1)
-        rank = np.where(usual[at] == shingles, ranks[at], 0)
-    least = -(-percent * len(shingles) // 100)
-    return shingles[np.lexsort((shingles, rank))[: len(shingles) - least + 1]]
-
-
-def prefixes(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """`(rep, size, xs)`: the first shingles of each class, those that few of the counted classes have first."""
-    usual, ranks = _usual(docs, classes, width)
+
+def prefixes(docs: DataFrame, classes: DataFrame, order: tuple[np.ndarray, np.ndarray], width: int, percent: int) -> DataFrame:
+    """`(rep, size, xs, bits…)`: the first shingles of each class, those that few texts have first, and its bitmap."""
+    shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def cut(batches):
         for batch in batches:
             for ids, texts in blocks(batch.column(0), batch.column(1), BLOCK_BYTES):
                 sets = [shingle_set(t, width) for t in texts]
-                lists = [first_shingles(s, usual, ranks, percent).view(np.int64) for s in sets]
-                arrays = [pa.array(map(set_key, sets), pa.binary()), pa.array(ids, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(lists, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(arrays, ["set_key", "rep", "size", "xs"])
+                arrays = [pa.array(map(set_key, sets), pa.binary()), pa.array(ids, pa.int64()), *set_columns(sets, shared.value, percent / 100)]
+                yield pa.RecordBatch.from_arrays(arrays, ["set_key", "rep", *SET_COLUMNS])
 
-    lists = _texts(docs).mapInArrow(cut, "set_key binary, rep long, size long, xs array<long>")
+    lists = _texts(docs).mapInArrow(cut, "set_key binary, rep long, " + SET_SCHEMA)
     # Rows that repeat a doc_id have a list for each of their sets.
-    return lists.join(classes.select("set_key", "rep"), ["set_key", "rep"], "left_semi").dropDuplicates(["set_key"]).select("rep", "size", "xs")
+    return lists.join(classes.select("set_key", "rep"), ["set_key", "rep"], "left_semi").dropDuplicates(["set_key"]).select("rep", *SET_COLUMNS)
 
 
 def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -275,7 +268,8 @@ def near_components(
     shingle and is linked with nothing. A row without doc_id is linked with nothing, has no component and is kept.
     Rows that repeat a doc_id are one node, linked with what any of them is. Other columns are not read.
     """
-    signed = materialize(signatures(docs, width, trees, depth), "signatures")
+    stored = materialize(signatures(docs, width, trees, depth), "signatures")
+    signed = stored.filter("n_shingles >= 0").drop("seen", "times")
     usable = signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
     classes = usable.groupBy("set_key").agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("_c"))
     classes = materialize(classes.select("set_key", F.col("_c.doc_id").alias("rep"), F.col("_c.n_shingles").alias("size"), F.col("_c.signature").alias("signature")), "classes")
@@ -284,7 +278,7 @@ def near_components(
     )
     ends = candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).distinct()
     # Where rows repeat a doc_id, any one of their texts stands for it in the forest.
-    texts = _texts(docs).join(ends.hint("merge"), "doc_id", "left_semi")
+    texts = _holding(_texts(docs), ends)
     repeated = not usable.groupBy("doc_id").count().filter("count > 1").isEmpty()
     if repeated:
         texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
@@ -303,11 +297,13 @@ def near_components(
     twice = same.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("a", "b")
     found = materialize(extend(found, twice), "components")
 
-    lists = prefixes(docs, classes, width, percent).join(found, "rep", "left")
-    lists = materialize(lists.select("rep", F.coalesce("component", "rep").alias("component"), "size", "xs"), "prefixes")
+    counts = stored.filter("n_shingles < 0").select(F.explode(F.arrays_zip("seen", "times")).alias("c"))
+    order = order_table(counts.select(F.col("c.seen").alias("x"), F.col("c.times").alias("n")))
+    lists = prefixes(docs, classes, order, width, percent).join(found, "rep", "left")
+    lists = materialize(lists.select("rep", F.coalesce("component", "rep").alias("component"), *SET_COLUMNS), "prefixes")
     pairs = materialize(open_pairs(lists, percent / 100), "open-pairs")
     ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = _texts(docs).join(ends.hint("merge"), "doc_id", "left_semi")
+    texts = _holding(_texts(docs), ends)
     # Here every text of a repeated doc_id is compared.
     texts = materialize(texts.distinct() if repeated else texts, "open-texts")
     linked = materialize(extend(found, compare(pairs, texts, width).filter(_linked(percent)).select("a", "b")), "components")
