@@ -103,9 +103,11 @@ def open_pairs(lists: DataFrame, threshold: float) -> DataFrame:
     several meet, the rows outside the largest are held against the others, by size classes if they are many. The rest of the
     lists then bounds the overlap once more: wherever the shorter prefix ends, all that both have before it was seen.
     """
-    placed = lists.select("component", "rep", "size", *BITS, F.posexplode("xs").alias("place", "x"))
+    placed = lists.select("component", "rep", "size", F.posexplode("xs").alias("place", "x"))
     held = placed.groupBy("x").agg(F.min("component").alias("low"), F.max("component").alias("high"), (F.count("*") > HOT_ROWS).alias("hot"))
-    rows = materialize(placed.join(held.filter("low < high").select("x", "hot"), "x"), "shared")
+    # Bitmaps join the rows that are left; with all rows they would be most of what is shuffled.
+    rows = placed.join(held.filter("low < high").select("x", "hot"), "x").join(lists.select("rep", *BITS).hint("merge"), "rep")
+    rows = materialize(rows, "shared")
     largest = rows.groupBy("x", "component").count().groupBy("x").agg(F.max(F.struct("count", "component"))["component"].alias("largest"))
     # Sizes of linked sets differ by a factor of 1 / threshold at most, so their classes by one.
     size_class = F.floor(F.log(F.col("size").cast("double")) / -np.log(min(threshold, 0.99))).cast("int")
