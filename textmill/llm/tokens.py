@@ -1,11 +1,11 @@
 """Token counts of a unigram model by trie-shared dynamic programming.
 
 The pieces of a public vocabulary get the probabilities of Zipf's law by their rank. A pre-token
-is a word with the mark of a word start. Each task inserts the distinct pre-tokens that it meets
-into a trie whose nodes hold the best score of the string up to there, and its number of tokens:
-computed once for all words that share the prefix. The count at a pre-token's last node is stored, and a
-document's count is the sum over its words. Nothing is shuffled; the trie starts anew when it
-has `MOST_NODES` nodes, which changes no count.
+is a word with the mark of a word start. The distinct new pre-tokens of a block make a trie whose nodes
+hold the best score of the string up to there, and its number of tokens: computed once for all words that share the prefix,
+from the pieces that are open at its parent. The trie is walked depth first, so only one path of it is held. The count at a
+pre-token's last node is stored, and a document's count is the sum over its words. Nothing is shuffled; a worker keeps the
+counts of `MOST_WORDS` pre-tokens and those of a block, and then starts anew, which changes no count.
 """
 
 from __future__ import annotations
@@ -18,9 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textmill.llm.common import blocks
+
 VOCABULARY = "piece_bpe_32k.model"
 WORD_START = "▁"
-MOST_NODES = 400_000
+MOST_WORDS = 400_000
+#: Bytes of text of a block, or a single longer text.
+BLOCK_BYTES = 4 << 20
 #: Offset of a rank in Zipf's law.
 FLATTENING = 2.7
 
@@ -51,46 +55,63 @@ class TokenTrie:
     """
 
     def __init__(self, pieces: dict[str, float]):
-        self.pieces = pieces
-        self.longest = max(map(len, pieces), default=1)
         self.rarest = min(pieces.values(), default=0.0)
+        #: Trie of the pieces: a node has its children by character, and its piece's log probability by "".
+        self.pieces: dict = {}
+        for piece, worth in pieces.items():
+            node = self.pieces
+            for char in piece:
+                node = node.setdefault(char, {})
+            node[""] = worth
         self.clear()
 
     def clear(self) -> None:
-        self.children: dict[tuple[int, str], int] = {}
-        self.best: list[tuple[float, int]] = [(0.0, 0)]  # score, minus the number of tokens
-        self.counts: dict[str, int] = {}
-
-    def insert(self, token: str) -> int:
-        """The number of tokens of a pre-token."""
-        node, path = 0, [0]
-        for i, char in enumerate(token):
-            child = self.children.get((node, char))
-            if child is None:
+        self.counts: dict[bytes, int] = {}
+
+    def insert(self, words: set[bytes]) -> None:
+        """Store the number of tokens of each word. The trie of the words is walked depth first, in their order."""
+        path = [(0.0, 0)]  # score, minus the number of tokens, of every prefix of the word at hand
+        going: list[list[tuple[int, dict]]] = [[]]  # pieces that go on after a prefix: where they start, and their node
+        root, rarest, before = self.pieces, self.rarest, ""
+        for token, word in sorted((WORD_START + w.decode("utf-8", "replace"), w) for w in words):
+            shared = 0
+            for x, y in zip(before, token, strict=False):
+                if x != y:
+                    break
+                shared += 1
+            del path[shared + 1 :], going[shared + 1 :]
+            for at in range(shared, len(token)):
+                char = token[at]
                 n_bytes = len(char.encode())
-                score, n = self.best[node]
-                best = (score + n_bytes * self.rarest, n - n_bytes)
-                for start in range(max(0, i + 1 - self.longest), i + 1):
-                    worth = self.pieces.get(token[start : i + 1])
-                    if worth is not None:
-                        score, n = self.best[path[start]]
-                        best = max(best, (score + worth, n - 1))
-                child = len(self.best)
-                self.best.append(best)
-                self.children[node, char] = child
-            node = child
-            path.append(node)
-        return -self.best[node][1]
-
-    def count(self, words: list[str]) -> int:
-        """Tokens of all words, each with the mark of a word start."""
-        new = set(words).difference(self.counts)
-        if new and len(self.best) > MOST_NODES:
+                score, n = path[at]
+                best, still = (score + n_bytes * rarest, n - n_bytes), []
+                for start, piece in (*going[at], (at, root)):
+                    piece = piece.get(char)
+                    if piece is not None:
+                        still.append((start, piece))
+                        worth = piece.get("")
+                        if worth is not None:
+                            score, n = path[start]
+                            best = max(best, (score + worth, n - 1))
+                path.append(best)
+                going.append(still)
+            self.counts[word] = -path[-1][1]
+            before = token
+
+    def count(self, texts: list[list[bytes]]) -> list[int]:
+        """Tokens of all words of each text, each with the mark of a word start."""
+        new = set().union(*texts).difference(self.counts)
+        if new and len(self.counts) > MOST_WORDS:
             self.clear()
-            new = set(words)
-        for word in new:
-            self.counts[word] = self.insert(WORD_START + word)
-        return sum(map(self.counts.__getitem__, words))
+            new = set().union(*texts)
+        self.insert(new)
+        return [sum(map(self.counts.__getitem__, words)) for words in texts]
+
+
+@cache
+def trie_of(path: str) -> TokenTrie:
+    """One per worker process, kept from task to task."""
+    return TokenTrie(load_pieces(path))
 
 
 def count_tokens(
@@ -99,20 +120,17 @@ def count_tokens(
     """`(doc_id, n_pretokens, n_tokens)`, one row per row of `docs`.
 
     Words are runs of characters other than \\x20 and \\x09-\\x0D of the whole text; a null or empty
-    text has none. `locate` gives a vocabulary's path where the task runs. Columns other than doc_id and text are
+    text has none, and an empty table gives no row. A very long text is a block of its own. `locate` gives a vocabulary's path where the task runs. Columns other than doc_id and text are
     not read; rows that repeat others are counted like them.
     """
 
     def count(batches):
-        trie = TokenTrie(load_pieces(locate(vocabulary)))
+        trie = trie_of(locate(vocabulary))
         for batch in batches:
-            n_words, n_tokens = [], []
-            for text in batch.column(1):
-                words = [w.decode("utf-8", "replace") for w in (text.as_py() or b"").split()]
-                n_words.append(len(words))
-                n_tokens.append(trie.count(words))
-            columns = [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_tokens, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_pretokens", "n_tokens"])
+            for ids, texts in blocks(batch.column(0), batch.column(1), BLOCK_BYTES):
+                words = [(text or b"").split() for text in texts]
+                columns = [pa.array(ids, pa.int64()), pa.array(map(len, words), pa.int64()), pa.array(trie.count(words), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_pretokens", "n_tokens"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
     return rows.mapInArrow(count, "doc_id long, n_pretokens long, n_tokens long")
