@@ -197,6 +197,57 @@ def test_plan_holds_every_piece():
         assert used <= 1.02 * least + 2 + max(0, counts[33:].sum() - least)
 
 
+def histogram(pairs):
+    import numpy as np
+
+    counts = np.zeros(packing.CAPACITY + 1, np.int64)
+    for length, n in pairs:
+        counts[length] += n
+    return counts
+
+
+@pytest.mark.parametrize(
+    "pairs, most",
+    [
+        ([(100, 1000)], 100),
+        ([(402, 2000)], 1000),
+        ([(400, 1000), (300, 1000)], 750),
+        ([(350, 3000), (330, 3000)], 2250),
+        ([(360, 4000), (304, 4000), (200, 10)], 2669),
+        ([(1024, 7), (1, 3)], 8),
+        ([], 0),
+    ],
+)
+def test_plan_of_repeated_lengths(pairs, most):
+    import numpy as np
+
+    counts = histogram(pairs)
+    plan = packing.plan_packing(counts)
+    assert (sum((n * taken for taken, n in plan), np.zeros_like(counts)) == counts).all()
+    assert sum(n for _, n in plan) <= most <= max(most, sum(n for _, n in packing.best_fit(counts, packing.CAPACITY)))
+
+
+def test_program_is_used_and_no_worse_than_best_fit(documents):
+    pieces = packing.cut_pieces(documents).groupBy("length").count().collect()
+    counts = histogram([(r["length"], r["count"]) for r in pieces])
+    plan, plain = packing.plan_packing(counts), packing.best_fit(counts, packing.CAPACITY)
+    least = -(-int((counts * range(packing.CAPACITY + 1)).sum()) // packing.CAPACITY)
+    n = sum(n for _, n in plan)
+    assert n <= sum(n for _, n in plain) and n <= 1.01 * least + 1
+    counts[packing.CAPACITY] = 0
+    program = {taken.tobytes() for step in packing.STEPS for taken, _ in packing.solve_program(counts, packing.CAPACITY, step)}
+    assert sum(n for taken, n in plan if taken.tobytes() in program) > 0.1 * n
+
+
+def test_best_fit_puts_equal_pieces_together():
+    import numpy as np
+
+    counts = histogram([(500, 3), (250, 5), (24, 1)])
+    plan = packing.best_fit(counts, packing.CAPACITY)
+    assert (sum(n * taken for taken, n in plan) == counts).all() and sum(n for _, n in plan) == 3
+    assert all((taken * np.arange(packing.CAPACITY + 1)).sum() <= packing.CAPACITY for taken, _ in plan)
+
+
 # op6
 
 
@@ -216,7 +267,7 @@ def test_token_counts(documents, odd, nothing):
             best.append(max(options))
         return -best[-1][1]
 
-    for df in (documents.filter("doc_id < 40"), odd):
+    for df in (documents, odd):
         want = Counter()
         for doc_id, text in texts_of(df):
             found = brute.words(text)
@@ -228,11 +279,12 @@ def test_token_counts(documents, odd, nothing):
 
 def test_trie_starts_anew(monkeypatch):
     pieces = {"▁": -1.0, "a": -2.0, "b": -2.5, "ab": -3.0, "▁ab": -3.5}
-    words = ["ab", "abab", "aab", "é", "ab", "bbb"]
-    whole = [tokens.TokenTrie(pieces).count([w]) for w in words]
-    monkeypatch.setattr(tokens, "MOST_NODES", 3)
+    words = [w.encode() for w in ("ab", "abab", "aab", "é", "ab", "bbb")]
+    whole = [tokens.TokenTrie(pieces).count([[w]])[0] for w in words]
+    monkeypatch.setattr(tokens, "MOST_WORDS", 3)
     trie = tokens.TokenTrie(pieces)
-    assert [trie.count([w]) for w in words] == whole and trie.count(words) == sum(whole)
+    assert [trie.count([[w]])[0] for w in words] == whole and trie.count([words, [], words[:2]]) == [sum(whole), 0, sum(whole[:2])]
+    assert len(trie.counts) == 5
 
 
 # op7

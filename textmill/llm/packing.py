@@ -4,7 +4,7 @@ Documents are cut into pieces of at most `capacity` tokens. Only the histogram o
 reaches the driver, at most `capacity` numbers at any input size. There the linear program over
 configurations (which lengths share a sequence, and how many sequences do so) is solved by multiplicative
 weights: a length's price falls as it gets covered, and the configurations of the highest total
-price are found by knapsack dynamic programming. Only full configurations are used; what rounding
+price are found by knapsack dynamic programming. Multiplicities are rounded down, and what that
 leaves goes to sequences by best fit, in whole runs of equal sequences.
 
 Pieces get their sequence from the plan by their number in the order of length, so
@@ -13,10 +13,10 @@ neither pieces nor sequences are ever gathered.
 
 from __future__ import annotations
 
-import base64
 import zlib
 from collections.abc import Callable, Iterator
 from functools import cache, cached_property
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -26,12 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.common import blocks
+from textmill.llm.align import rank_encoding
 from textmill.llm.tokens import public_path
 from textmill.operators.indexing import global_index
 from textmill.runtime import materialize
 
 CAPACITY = 1024
-VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+VOCABULARY = "byte_bpe_50k.json"
 #: Characters below are Latin letters and the signs among them.
 LATIN_END = "\u0250"
 #: Id that ends every document.
@@ -40,10 +41,10 @@ END_ID = 2
 SPECIAL = "<|endoftext|>"
 #: Bytes of text of a block, or a single longer text.
 BLOCK_BYTES = 4 << 20
-#: Share of a length that one pricing may cover, fall of the prices, and configurations of a pricing.
-STEP, RATE, MOST_CONFIGURATIONS = 0.1, 4.0, 16
-#: Shares of the program's solution that rounding tries.
-SHARES = (1.0, 0.5, 0.2, 0.05)
+#: Shares of a length that one pricing may cover (each is tried), fall of the prices, and configurations of a pricing.
+STEPS, RATE, MOST_CONFIGURATIONS = (1.0, 0.1), 0.2, 16
+#: Room that configurations of the program may leave, tried in turn.
+WASTE = (CAPACITY, 16, 2, 0)
 
 
 class PartTokenizer:
@@ -51,18 +52,13 @@ class PartTokenizer:
 
     A single space between two other characters always begins a new pre-token of this byte-level
     vocabulary, so a block is split at such spaces and each distinct part is encoded once, all in one
-    call on the vocabulary's rank file, whose ids are the same. Texts with other white
-    space at a split are encoded whole; those that hold the end-of-text string by the vocabulary file.
+    call on the vocabulary's merges as ranks, see `rank_encoding`. Texts with other white
+    space at a split are encoded whole; those that hold the end-of-text string by the library of the file.
     """
 
-    def __init__(self, path: str, ranks_path: str):
-        import public_tokenizers
-        import tiktoken
-
+    def __init__(self, path: str):
         self.path = path
-        with open(ranks_path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.ranks, ranks = rank_encoding(path)
         self.spaced = np.zeros(len(ranks), bool)
         self.spaced[[rank for token, rank in ranks.items() if token.startswith(b" ")]] = True
 
@@ -105,16 +101,15 @@ class PartTokenizer:
 
 
 @cache
-def part_tokenizer(path: str, ranks_path: str) -> PartTokenizer:
+def part_tokenizer(path: str) -> PartTokenizer:
     """One per worker process, kept from task to task."""
-    return PartTokenizer(path, ranks_path)
+    return PartTokenizer(path)
 
 
 def cut_pieces(
     docs: DataFrame,
     capacity: int = CAPACITY,
     vocabulary: str = VOCABULARY,
-    ranks: str = RANKS,
     locate: Callable[[str], str] = public_path,
 ) -> DataFrame:
     """`(doc_id, piece, start, length, ids_crc32)`: the token pieces of each row of `docs`.
@@ -123,7 +118,7 @@ def cut_pieces(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = part_tokenizer(locate(vocabulary), locate(ranks))
+        tokenizer = part_tokenizer(locate(vocabulary))
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for doc_ids, texts in blocks(batch.column(0), batch.column(1), BLOCK_BYTES):
@@ -143,67 +138,75 @@ def cut_pieces(
     return rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def price_out(prices: np.ndarray, capacity: int, most: int) -> list[np.ndarray]:
-    """The configurations of the highest total price, at most `most`, each with another longest piece.
+def price_out(prices: np.ndarray, left: np.ndarray, capacity: int, most: int) -> list[np.ndarray]:
+    """The configuration of the highest total price for each of the `most` longest lengths as its longest piece, with no more pieces than are `left`.
 
-    One unbounded knapsack over all capacities prices the best filling beside every length.
+    One knapsack over the lengths in order, with a length's pieces in bundles of 1, 2, 4, …, prices the best filling beside every length.
+    Long pieces, which fit in the fewest configurations, choose first.
     """
-    lengths = np.flatnonzero(prices > 0)
-    worth = prices[lengths]
-    best, choice = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
-    upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for c in range(1, capacity + 1):
-        best[c] = best[c - 1]
-        if n := upto[c]:
-            values = best[c - lengths[:n]] + worth[:n]
-            top = values.argmax()
-            if values[top] > best[c]:
-                best[c], choice[c] = values[top], lengths[top]
-    total = worth + best[capacity - lengths]
-    found = {}
-    for first in lengths[np.argsort(-total, kind="stable")[:most]]:
-        taken, room = np.zeros(len(prices), np.int64), capacity - first
-        taken[first] += 1
-        while room > 0:
-            if choice[room]:
-                taken[choice[room]] += 1
-                room -= choice[room]
-            else:
-                room -= 1
-        found[taken.tobytes()] = taken
-    return list(found.values())
-
-
-def solve_program(counts: np.ndarray, capacity: int) -> list[tuple[np.ndarray, float]]:
-    """Full configurations with fractional multiplicities that together use at most `counts` (index: length).
+    bundles = []
+    for length in np.flatnonzero(left):
+        rest, size = min(int(left[length]), capacity // int(length)), 1
+        while rest:
+            size = min(size, rest)
+            bundles.append((int(length), size))
+            rest, size = rest - size, 2 * size
+    best = np.zeros((len(bundles) + 1, capacity + 1))
+    last = np.zeros((len(bundles) + 1, capacity + 1), np.int32)  # the last bundle taken, counted from 1
+    for i, (length, size) in enumerate(bundles, 1):
+        best[i], last[i] = best[i - 1], last[i - 1]
+        with_it = best[i - 1, : capacity + 1 - length * size] + prices[length] * size
+        better = with_it > best[i, length * size :]
+        best[i, length * size :][better] = with_it[better]
+        last[i, length * size :][better] = i
+    longest = {length: i for i, (length, _) in reversed(list(enumerate(bundles)))}  # bundles of shorter pieces
+    found = []
+    for length in sorted(longest, reverse=True)[:most]:
+        taken = np.zeros(len(prices), np.int64)
+        more = min(int(left[length]), capacity // length)
+        # As many pieces of the longest length as pay, the rest from shorter ones.
+        values = [n * prices[length] + best[longest[length], capacity - n * length] for n in range(1, more + 1)]
+        taken[length] = 1 + int(np.argmax(values))
+        i, room = longest[length], capacity - length * int(taken[length])
+        while i := int(last[i, room]):
+            piece, size = bundles[i - 1]
+            taken[piece] += size
+            room -= piece * size
+            i -= 1
+        found.append(taken)
+    return found
+
+
+def solve_program(counts: np.ndarray, capacity: int, step: float = STEPS[0]) -> list[tuple[np.ndarray, float]]:
+    """Configurations with multiplicities that together cover `counts` (index: length), but for less than one piece of a length.
 
     Prices start at the length itself, the best dual values if no room is wasted, and fall
-    exponentially with the share of a length that is covered. Each pricing adds to its best full
-    configurations until their scarcest length has gained `STEP` of its count or is covered.
+    exponentially with the share of a length that is covered. Each pricing adds to its best configurations until their
+    scarcest length has gained `step` of its count, one piece at least. A configuration may leave room.
     """
     share = np.where(counts > 0, counts, 1)
-    left = counts.astype(float)
-    length = np.arange(len(counts))
+    left, length = counts.astype(float), np.arange(len(counts))
     used: dict[bytes, list] = {}
-    moved = True
-    while moved:
-        moved = False
-        prices = np.where(left > 0.5, length * np.exp(RATE * left / share), 0.0)
-        for taken in price_out(prices, capacity, MOST_CONFIGURATIONS):
+    while (left >= 1).any():
+        whole = np.floor(left + 1e-9).astype(np.int64)
+        prices = np.where(whole > 0, length * np.exp(RATE * left / share), 0.0)
+        for taken in price_out(prices, whole, capacity, MOST_CONFIGURATIONS):
             held = taken > 0
-            amount = (np.minimum(left[held], np.maximum(1.0, STEP * counts[held])) / taken[held]).min()
-            if amount > 0 and (taken * length).sum() == capacity:
-                left[held] -= amount * taken[held]
-                used.setdefault(taken.tobytes(), [taken, 0.0])[1] += amount
-                moved = True
+            if (left[held] < taken[held]).any():
+                continue  # another configuration of this pricing has taken its pieces
+            amount = (np.minimum(left[held], np.maximum(taken[held], step * counts[held])) / taken[held]).min()
+            left[held] -= amount * taken[held]
+            left[left < 1e-9] = 0.0
+            used.setdefault(taken.tobytes(), [taken, 0.0])[1] += amount
     return [(taken, amount) for taken, amount in used.values()]
 
 
 def plan_packing(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[np.ndarray, int]]:
     """Configurations and how many sequences use each; together they hold `counts[length]` pieces exactly.
 
-    Multiplicities are rounded down to several shares of the program's solution, the rest goes
-    to best fit each time, and the share that needs the fewest sequences counts.
+    Multiplicities of the program's solution are rounded down, one sequence at least where the pieces are still there. How much
+    room a configuration may leave, so that its sequences are kept, is chosen among `WASTE`, and the step of the program among `STEPS`; the pieces of
+    the others and those that rounding leaves go to best fit. The plan with the fewest sequences counts, of equal ones that with the most of the program's.
     """
     alone, whole = counts.astype(np.int64).copy(), []
     if alone[capacity]:
@@ -211,37 +214,66 @@ def plan_packing(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[np.
         full[capacity] = 1
         whole = [(full, int(alone[capacity]))]
         alone[capacity] = 0
-    program = sorted(solve_program(alone, capacity), key=lambda x: -x[1])
+    length = np.arange(len(counts))
+    room = lambda taken: capacity - int((taken * length).sum())
+    programs = [sorted(solve_program(alone, capacity, step), key=lambda x: (room(x[0]), -x[1])) for step in STEPS]
     plans = []
-    for share in SHARES:
+    for program, waste in product(programs, WASTE):
         left, plan = alone.copy(), []
         for taken, amount in program:
+            if room(taken) > waste:
+                continue
             held = taken > 0
-            n = min(int(share * amount), int((left[held] // taken[held]).min()))
+            n = min(max(1, int(amount + 1e-9)), int((left[held] // taken[held]).min()))
             if n:
                 plan.append((taken, n))
                 left -= n * taken
-        plans.append(whole + plan + best_fit(left, capacity))
-    return min(plans, key=lambda plan: sum(n for _, n in plan))
+        used = sum(n for _, n in plan)
+        plans.append((used, whole + plan + best_fit(left, capacity)))
+    return min(plans, key=lambda x: (sum(n for _, n in x[1]), -x[0]))[1]
 
 
 def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
-    """Best fit by decreasing length: pieces of a length go to the fullest sequences that have room for them."""
+    """Best fit by decreasing length, in whole runs of equal sequences.
+
+    Pieces of a length go to the fullest sequences that have room for them, as many to each as it can take, then to new ones.
+    """
     by_room: dict[int, dict[bytes, int]] = {}
     left = counts.astype(np.int64).copy()
     empty = np.zeros(len(counts), np.int64).tobytes()
+
+    def put(before: bytes, room: int, length: int, each: int, n: int) -> None:
+        held = np.frombuffer(before, np.int64).copy()
+        held[length] += each
+        after = by_room.setdefault(room - each * length, {})
+        after[held.tobytes()] = after.get(held.tobytes(), 0) + n
+
     for length in np.flatnonzero(left)[::-1].tolist():
-        while left[length]:
-            room = next((r for r in range(length, capacity) if by_room.get(r)), capacity)
-            before, have = by_room[room].popitem() if room < capacity else (empty, int(left[length]))
-            n = min(have, int(left[length]))
-            if room < capacity and have > n:
-                by_room[room][before] = have - n
-            held = np.frombuffer(before, np.int64).copy()
-            held[length] += 1
-            after = by_room.setdefault(room - length, {})
-            after[held.tobytes()] = after.get(held.tobytes(), 0) + n
-            left[length] -= n
+        for room in range(length, capacity):
+            each = room // length
+            if not left[length]:
+                break
+            for before, have in list(by_room.get(room, {}).items()):
+                n = min(have, int(left[length]) // each)
+                rest = int(left[length]) - n * each if n < have else 0
+                taken = n + (rest > 0)
+                if not taken:
+                    break
+                by_room[room][before] = have - taken
+                if have == taken:
+                    del by_room[room][before]
+                if n:
+                    put(before, room, length, each, n)
+                if rest:
+                    put(before, room, length, rest, 1)
+                left[length] -= n * each + rest
+        each = capacity // length
+        n, rest = divmod(int(left[length]), each)
+        if n:
+            put(empty, capacity, length, each, n)
+        if rest:
+            put(empty, capacity, length, rest, 1)
+        left[length] = 0
     return [(np.frombuffer(held, np.int64), n) for same in by_room.values() for held, n in same.items()]
 
 
