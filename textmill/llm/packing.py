@@ -41,8 +41,10 @@ END_ID = 2
 SPECIAL = "<|endoftext|>"
 #: Bytes of text of a block, or a single longer text.
 BLOCK_BYTES = 4 << 20
-#: Shares of a length that one pricing may cover (each is tried), fall of the prices, and configurations of a pricing.
-STEPS, RATE, MOST_CONFIGURATIONS = (1.0, 0.1), 0.2, 16
+#: Growth of the first prices with length (one long piece is worth more than short ones that fill as much), fall of the prices, and configurations of a pricing.
+POWER, RATE, MOST_CONFIGURATIONS = 1.1, 0.2, 32
+#: Least share of a length's count that a pricing covers; with many lengths the share is larger, so that the pricings stay about as many.
+LEAST_STEP = 0.1
 #: Room that configurations of the program may leave, tried in turn.
 WASTE = (CAPACITY, 16, 2, 0)
 
@@ -177,19 +179,19 @@ def price_out(prices: np.ndarray, left: np.ndarray, capacity: int, most: int) ->
     return found
 
 
-def solve_program(counts: np.ndarray, capacity: int, step: float = STEPS[0]) -> list[tuple[np.ndarray, float]]:
+def solve_program(counts: np.ndarray, capacity: int, step: float = 1.0) -> list[tuple[np.ndarray, float]]:
     """Configurations with multiplicities that together cover `counts` (index: length), but for less than one piece of a length.
 
-    Prices start at the length itself, the best dual values if no room is wasted, and fall
-    exponentially with the share of a length that is covered. Each pricing adds to its best configurations until their
-    scarcest length has gained `step` of its count, one piece at least. A configuration may leave room.
+    Prices start at the length itself, the best dual values if no room is wasted, with a little more for long pieces, and fall
+    exponentially with the share of a length that is covered. Each pricing adds to its best configurations until
+    their scarcest length has gained the share `step` of its count, one piece at least. A configuration may leave room.
     """
     share = np.where(counts > 0, counts, 1)
     left, length = counts.astype(float), np.arange(len(counts))
     used: dict[bytes, list] = {}
     while (left >= 1).any():
         whole = np.floor(left + 1e-9).astype(np.int64)
-        prices = np.where(whole > 0, length * np.exp(RATE * left / share), 0.0)
+        prices = np.where(whole > 0, length**POWER * np.exp(RATE * left / share), 0.0)
         for taken in price_out(prices, whole, capacity, MOST_CONFIGURATIONS):
             held = taken > 0
             if (left[held] < taken[held]).any():
@@ -205,8 +207,8 @@ def plan_packing(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[np.
     """Configurations and how many sequences use each; together they hold `counts[length]` pieces exactly.
 
     Multiplicities of the program's solution are rounded down, one sequence at least where the pieces are still there. How much
-    room a configuration may leave, so that its sequences are kept, is chosen among `WASTE`, and the step of the program among `STEPS`; the pieces of
-    the others and those that rounding leaves go to best fit. The plan with the fewest sequences counts, of equal ones that with the most of the program's.
+    room a configuration may leave, so that its sequences are kept, is chosen among `WASTE`, the step of the program among two; the pieces of the others and those
+    that rounding leaves go to best fit. The plan with the fewest sequences counts, of equal ones that with the most of the program's.
     """
     alone, whole = counts.astype(np.int64).copy(), []
     if alone[capacity]:
@@ -216,7 +218,8 @@ def plan_packing(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[np.
         alone[capacity] = 0
     length = np.arange(len(counts))
     room = lambda taken: capacity - int((taken * length).sum())
-    programs = [sorted(solve_program(alone, capacity, step), key=lambda x: (room(x[0]), -x[1])) for step in STEPS]
+    steps = {1.0, max(LEAST_STEP, np.count_nonzero(alone) / CAPACITY)}
+    programs = [sorted(solve_program(alone, capacity, step), key=lambda x: (room(x[0]), -x[1])) for step in sorted(steps)]
     plans = []
     for program, waste in product(programs, WASTE):
         left, plan = alone.copy(), []
