@@ -38,6 +38,19 @@ def test_secrets(documents, odd, nothing):
     assert secrets.find_secrets(nothing).count() == 0
 
 
+def test_long_secrets(spark):
+    text = f"ftp://{'u' * 400}:{'p' * 500}@host bearer{' ' * 30}{'x' * 20} -----BEGIN {'A ' * 60}PRIVATE KEY-----"
+    spans = secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["spans"]
+    assert [s["kind"] for s in spans] == ["login", "bearer", "pem"]
+
+
+def test_patterns_that_fold_case_by_themselves():
+    from textmill.llm.trigrams import trigram_query
+
+    assert trigram_query("(?i)kelvin") is True and trigram_query("a(?i:kelvin)") is True
+    assert trigram_query("(?ai)kelvin") is not True and trigram_query("kelvin") is not True
+
+
 def test_secret_edges(spark):
     texts = [
         "PASSWD='abcdef' secret=tok token = \"a.b/c=\" api_key:xxxxxx apikey:12345",
@@ -373,6 +386,13 @@ def test_lines(documents):
     assert digest_of(lines.dedupe_lines(documents)) == {(i, *v) for i, v in want.items()}
 
 
+def test_lines_of_an_empty_index(spark, odd):
+    index = lines.LineIndex(spark)
+    index.delete(odd.select("doc_id"))
+    got = index.dedupe(odd.select("doc_id", "text")).collect()
+    assert len(got) == odd.count() and all(r["n_dropped"] == 0 for r in got)
+
+
 def test_lines_odd(odd, nothing):
     got = lines.dedupe_lines(odd)
     assert set(got.columns) == {*odd.columns, "n_dropped"} and got.count() == odd.count()

@@ -183,7 +183,9 @@ class LineIndex:
         return refs
 
     def delete(self, doc_ids: DataFrame) -> None:
-        """Take the documents of a table with a column doc_id out."""
+        """Take the documents of a table with a column doc_id out; ids that were never inserted change nothing."""
+        if self.refs is None:
+            return
         ids = doc_ids.select("doc_id").distinct()
         touched = self.refs.join(ids, "doc_id", "left_semi").select(KEY).distinct()
         touched = materialize(touched, "touched-lines")
@@ -200,13 +202,17 @@ class LineIndex:
         the smallest doc_id. `refs` are the references of `docs`, if known. A null or empty text is
         one empty line, and the text that remains is empty then. Rows without doc_id keep all
         lines and count for no key; rows that repeat a doc_id are one document. Columns of `docs` called
-        n_lines or n_dropped are replaced.
+        n_lines or n_dropped are replaced. Before any insertion, and where only one document holds a key, nothing goes;
+        of documents that hold a key equally the smallest doc_id keeps its lines. An empty table gives no row.
         """
         refs = line_references(docs, self.min_length) if refs is None else refs
-        likely = self._probe(refs.select(KEY).distinct(), "shared")
-        shared = self.counts.filter("min_doc < max_doc").join(likely, KEY, "left_semi").select(*KEY, "min_doc")
-        # A table of its own, so that both sides are shuffled and Spark can split the lines of a hot key.
-        drops = refs.join(materialize(shared, "shared-lines"), KEY).filter("doc_id <> min_doc")
+        if self.counts is None:
+            drops = refs.limit(0)
+        else:
+            likely = self._probe(refs.select(KEY).distinct(), "shared")
+            shared = self.counts.filter("min_doc < max_doc").join(likely, KEY, "left_semi").select(*KEY, "min_doc")
+            # A table of its own, so that both sides are shuffled and Spark can split the lines of a hot key.
+            drops = refs.join(materialize(shared, "shared-lines"), KEY).filter("doc_id <> min_doc")
         listed = drops.groupBy(F.col("doc_id").alias("_llm_id")).agg(F.collect_set(F.struct(*KEY)).alias("_llm_keys"))
         rest = docs.drop("n_lines", "n_dropped", "_llm_id", "_llm_keys")
         joined = rest.join(listed, rest["doc_id"] == listed["_llm_id"], "left").drop("_llm_id")

@@ -17,15 +17,15 @@ def _either_case(pattern: str) -> str:
 
 _NAMES = _either_case("password") + "|" + _either_case("passwd") + "|" + _either_case("secret") + "|" + _either_case("token") + "|" + _either_case("api") + "_?" + _either_case("key")
 _QUOTE = "[\"'']?"
-_SPACE = r"[^\x20\x09-\x0D/:@]{1,200}"
+_SPACE = r"[^\x20\x09-\x0D/:@]+"
 #: Kind, pattern, group that is measured, least length.
 _KINDS = [
     ("assign", rf"({_NAMES}){_QUOTE}\x20*[:=]\x20*{_QUOTE}([A-Za-z0-9+/_.=-]+)", 2, 6),
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),
-    ("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 1),
+    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
-    ("bearer", _either_case("bearer") + r"\x20{1,8}[A-Za-z0-9._~+/=-]{16,}", 0, 1),
+    ("bearer", _either_case("bearer") + r"\x20+[A-Za-z0-9._~+/=-]{16,}", 0, 1),
     ("login", rf"://{_SPACE}:{_SPACE}@", 0, 1),
 ]
 

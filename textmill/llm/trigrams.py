@@ -134,11 +134,24 @@ def _node(op, value) -> Part:
 def trigram_query(pattern: str, flags: int = 0) -> Query:
     """The query that every text with a match fulfils, True if there is none.
 
-    Ignoring case needs re.ASCII, as the index folds ASCII letters only.
+    Ignoring case needs re.ASCII, as the index folds ASCII letters only; a pattern that asks for more by flags of its own has no query.
     """
     if flags & re.IGNORECASE and not flags & re.ASCII:
         raise ValueError("a pattern that ignores case must be ASCII")
-    return _sequence(parser.parse(pattern, flags)).demand()
+    parsed = parser.parse(pattern, flags)
+    if not parsed.state.flags & re.ASCII and (parsed.state.flags & re.IGNORECASE or _folds_inside(parsed)):
+        return True
+    return _sequence(parsed).demand()
+
+
+def _folds_inside(item) -> bool:
+    """Whether a part of a parsed pattern ignores case by flags of its own, as in (?i:...)."""
+    if isinstance(item, parser.SubPattern):
+        return any(_folds_inside(x) for x in item)
+    if not isinstance(item, tuple | list):
+        return False
+    own = len(item) == 2 and str(item[0]) == "SUBPATTERN" and bool(item[1][1] & re.IGNORECASE)
+    return own or any(_folds_inside(x) for x in item)
 
 
 def trigrams_of(query: Query) -> set[bytes]:
