@@ -13,6 +13,7 @@ from textmill.functions.payload import has_keys
 from textmill.operators import (
     classify,
     clean,
+    crf,
     diversity as diversity_op,
     features,
     ingest,
@@ -408,6 +409,30 @@ def tag_evaluate(spark, sf_dir):
     return _rounded_report(tagging.entity_report(_viterbi(spark, sf_dir, True)))
 
 
+def _trained(spark, sf_dir):
+    _, train, test = _tagged_split(spark, sf_dir)
+    return crf.train_crf(train, ENTITIES.tag_map), train, test
+
+
+@query
+def crf_report(spark, sf_dir):
+    tagger, _, test = _trained(spark, sf_dir)
+    found = tagging.tag_viterbi(test, tagger.emissions, tagger.transitions, ENTITIES.tag_map)
+    return _rounded_report(tagging.entity_report(found))
+
+
+@query
+def crf_loss(spark, sf_dir):
+    """Loss per token on the test part, under trained and under counted scores."""
+    tagger, train, test = _trained(spark, sf_dir)
+    counted = materialize(tagging.tag_emissions(train, ENTITIES.tag_map), "emissions"), tagging.tag_transitions(train, ENTITIES.tag_map)
+    out = []
+    for name, tables in (("trained", (tagger.emissions, tagger.transitions)), ("counted", counted)):
+        losses = crf.path_losses(test, *tables, ENTITIES.tag_map)
+        out.append(crf.mean_path_loss(losses).select(F.lit(name).alias("scores"), "sentences", "tokens", _r("mean_loss", "mean_loss")))
+    return out[0].unionByName(out[1])
+
+
 # ------------------------------------------------------------------------------- features
 
 
