@@ -1,5 +1,6 @@
 """Every operator against a brute-force version, and on odd rows."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -163,6 +164,36 @@ def test_chat(spark, nothing):
     assert chat.read_back(chat.format_conversations(table.limit(0))).count() == 0
 
 
+def test_chat_keeps_the_budget(spark):
+    def turns(conv, sizes, system):
+        sizes = [system, *sizes] if system else sizes
+        roles = ["system" if system and i == 0 else ("assistant" if i % 2 else "user") for i in range(len(sizes))]
+        return [(conv, i, role, "w " * (n - chat.OVERHEAD)) for i, (role, n) in enumerate(zip(roles, sizes))]
+
+    rng = random.Random(3)
+    sizes = {
+        1: ([250, 500] * 20, 404), 2: ([700] * 9, 0), 3: ([250, 500] * 20, 0), 4: ([30] * 400, 20), 5: ([900, 5, 5] * 5, 104),
+        6: ([20, 30] * 5, 2000), 7: ([rng.randint(4, 600) for _ in range(300)], 50), 8: ([3000, 10, 10], 0),
+    }
+    df = spark.createDataFrame([r for conv, (s, system) in sizes.items() for r in turns(conv, s, system)], "conv_id long, turn long, role string, text string")
+    for name in ("window", "upto", "head", "body", "loss", "_room", "lead_tokens", "seen"):
+        df = df.withColumn(name, F.lit("x"))
+    windows = check_chat(df).collect()
+    for conv, (given, system) in sizes.items():
+        own = sorted((r for r in windows if r["conv_id"] == conv), key=lambda r: r["window"])
+        for i, r in enumerate(own):
+            new, seen = r["text"].count("<turn "), r["text"].count("<seen ")
+            assert seen >= (1 if i and system else 0)
+            if r["tokens"] > chat.BUDGET:  # one turn that does not fit beside the system turn
+                assert new == 1 and seen == (1 if i and system else 0)
+                assert system + max(given) > chat.BUDGET
+        # Cells and crossing turns: at most two windows for the room of one, and one more.
+        room = max(chat.BUDGET - chat.HISTORY - system, 1)
+        assert len(own) <= min(2 * (sum(given) + system) / room + 1, len(given) + 1)
+    assert all(r["tokens"] <= chat.BUDGET for r in windows if r["conv_id"] in (1, 2, 3, 4, 7))
+    assert any(r["text"].count("<seen ") > 1 for r in windows if r["conv_id"] == 4)
+
+
 # op5
 
 

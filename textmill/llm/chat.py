@@ -2,16 +2,18 @@
 
 The turns of a conversation get prefix sums of their tokens. The line of these sums is cut into
 cells of what the budget leaves beside the system turn and the history: turns inside a cell make a
-window, and a turn that crosses cells makes one of its own. So a window keeps the budget unless a single
-turn is longer, and no turn is cut. Each later window repeats the leading system turn
-and the last turns of the window before, up to the history's tokens. The loss mask holds each assistant
-text where it comes first; repeated turns are never in it.
+window. A turn that crosses cells joins the window before it or else the one after it, where all fits into a cell's
+width, and makes a window of its own otherwise. No turn is cut. Each later window repeats the leading system turn
+and the last turns of the window before, up to the history's tokens and to what its own turns leave of the budget. So
+a window exceeds the budget only where the system turn and one turn do so by themselves. The loss mask holds each
+assistant text where it comes first; repeated turns are never in it.
 
 Turns are written as `<turn ROLE>TEXT</turn>`, repeated ones as `<seen ROLE>TEXT</turn>`, with
 `&`, `<` and `>` of roles and texts as `&amp;`, `&lt;` and `&gt;`, so a text can hold no marker.
 
 Prefix sums are taken in blocks of turns and then over the blocks, so a very long conversation
-is spread over tasks until its windows are put together.
+is spread over tasks until its windows are put together. The turns with their sums are stored once; windows are
+found from the numbers alone.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textmill.llm.common import words_of
+from textmill.runtime import materialize
 
 BUDGET = 1024
 HISTORY = 256
@@ -70,33 +73,58 @@ def _prefix_sums(conversations: DataFrame) -> DataFrame:
     return summed.withColumn("upto", F.col("_before") + F.col("_in")).drop("_before", "_in", "_block")
 
 
+def _joined(turns: DataFrame, budget: int, history: int) -> DataFrame:
+    """Windows by number with `_to` (the number of the window that takes them in, often their own) and of that window
+    `_end` (its last prefix sum), `_next` (the window after it) and `_history` (tokens that one may repeat).
+
+    An odd number is a turn that crosses cells. It joins the even window before it, or else the one after it if that
+    has room beside what joins it from behind.
+    """
+    order = Window.partitionBy(*_CONV).orderBy("window")
+    size, window = F.col("_size"), F.col("window")
+    cells = turns.groupBy(*_CONV, "window").agg(
+        F.sum("tokens").alias("_size"), F.max("upto").alias("_end"), F.first("_room").alias("_room"), F.first("lead_tokens").alias("_lead")
+    )
+    crossing = window % 2 == 1
+    fits_back = crossing & (F.lag(window).over(order) == window - 1) & (F.lag(size).over(order) + size <= F.col("_room"))
+    cells = cells.withColumn("_back", F.coalesce(fits_back, F.lit(False)))
+    behind = F.when(F.lead("_back", 2).over(order), F.lead(size, 2).over(order)).otherwise(0)
+    fits_on = crossing & (F.lead(window).over(order) % 2 == 0) & (size + F.lead(size).over(order) + behind <= F.col("_room"))
+    to = F.when(F.col("_back"), window - 1).when(fits_on, F.lead(window).over(order)).otherwise(window)
+    cells = cells.withColumn("_to", to)
+    whole = Window.partitionBy(*_CONV).orderBy("_to")
+    merged = cells.groupBy(*_CONV, "_to").agg(F.collect_list("window").alias("_from"), F.sum("_size").alias("_size"), F.max("_end").alias("_end"), F.first("_lead").alias("_lead"))
+    left = F.lit(budget) - F.coalesce("_lead", F.lit(0)) - F.lead("_size").over(whole)
+    merged = merged.withColumn("_next", F.lead("_to").over(whole)).withColumn("_history", F.least(F.lit(history), left))
+    return merged.select(*_CONV, F.explode("_from").alias("window"), "_to", "_end", "_next", "_history")
+
+
 def format_conversations(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """`(conv_id, window, text, loss_spans, tokens)`, one row per window.
 
     Turns are ordered by turn number (null first), then role and text; rows that repeat others are turns of
     their own. Null texts and roles count as empty, a null conv_id is a conversation. `window` numbers rise within a
     conversation, with gaps. `loss_spans` are code points of `text`, ends exclusive. Tokens are words plus the
-    markers' overhead. Other columns are not read; an empty table gives no window.
+    markers' overhead. Other columns are not read; an empty table gives no window. A long system turn is repeated in
+    every window all the same, and leaves the less room the longer it is; a very long turn is a window of its own.
     """
     turns = _prefix_sums(conversations)
-    room = F.greatest(F.lit(budget - history) - F.coalesce("lead_tokens", F.lit(0)), F.lit(1))
-    start, end = F.expr("upto - tokens"), F.expr("upto - 1")
-    turns = turns.withColumn("_room", room)
-    turns = turns.withColumn("_cell", F.floor(start / F.col("_room"))).withColumn("_last", F.floor(end / F.col("_room")))
-    turns = turns.withColumn("window", 2 * F.col("_cell") + (F.col("_cell") < F.col("_last")).cast("long"))
+    room = F.greatest(F.lit(budget - history) - F.coalesce("lead_tokens", F.lit(0)), F.lit(1)).alias("_room")
+    turns = turns.select(*_CONV, "upto", "tokens", "role", "text", "lead_tokens", room)
+    cell, last = F.floor((F.col("upto") - F.col("tokens")) / F.col("_room")), F.floor((F.col("upto") - 1) / F.col("_room"))
+    turns = materialize(turns.withColumn("window", 2 * cell + (cell < last).cast("long")), "turns")
     leads = F.col("lead_tokens").isNotNull() & (F.col("upto") == F.col("tokens"))
-    turns = turns.select(*_CONV, "window", "upto", "tokens", "role", "text", leads.alias("_leads"))
-    windows = turns.groupBy(*_CONV, "window").agg(F.max("upto").alias("_end"))
-    windows = windows.withColumn("_next", F.lead("window").over(Window.partitionBy(*_CONV).orderBy("window")))
-    placed = turns.join(windows, [*_CONV, "window"])
-    again = F.col("_next").isNotNull() & ~F.col("_leads") & (F.col("_end") - F.col("upto") + F.col("tokens") <= history)
+    windows = _joined(turns, budget, history)
+    placed = turns.withColumn("_leads", leads).drop("lead_tokens", "_room").join(windows, [*_CONV, "window"])
+    placed = placed.withColumn("window", F.col("_to")).drop("_to")
+    again = F.col("_next").isNotNull() & ~F.col("_leads") & (F.col("_end") - F.col("upto") + F.col("tokens") <= F.col("_history"))
     place = lambda window, seen: F.struct(window.alias("window"), F.lit(seen).alias("seen"))
     places = F.when(again, F.array(place(F.col("window"), False), place(F.col("_next"), True)))
     places = places.otherwise(F.array(place(F.col("window"), False)))
     shown = ["upto", "tokens", "role", "text"]
     written = placed.select(*_CONV, *shown, F.explode(places).alias("_place")).select(*_CONV, "_place.*", *shown)
-    later = windows.withColumn("_first", F.min("window").over(Window.partitionBy(*_CONV))).filter("window > _first")
-    lead = turns.filter("_leads").select(*_CONV, *shown).join(later.select(*_CONV, "window"), _CONV)
+    later = windows.filter("_next IS NOT NULL").select(*_CONV, F.col("_next").alias("window")).distinct()
+    lead = turns.filter(leads).select(*_CONV, *shown).join(later, _CONV)
     written = written.unionByName(lead.withColumn("seen", F.lit(True)))
 
     head = F.concat(F.when(F.col("seen"), "<seen ").otherwise("<turn "), escape(F.col("role")), F.lit(">"))

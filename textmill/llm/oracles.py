@@ -83,10 +83,21 @@ u AS (SELECT *, sum(tokens) OVER o AS upto, row_number() OVER o = 1 AND role = '
       FROM n WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)),
 s AS (SELECT *, greatest(1024 - 256 - coalesce(max(tokens) FILTER (leads) OVER (PARTITION BY conv_id), 0), 1) AS room FROM u),
 w AS (SELECT *, 2 * ((upto - tokens)::BIGINT // room) + ((upto - tokens)::BIGINT // room < (upto - 1)::BIGINT // room)::BIGINT AS win FROM s),
-e AS (SELECT conv_id, win, max(upto) AS stop, lead(win) OVER (PARTITION BY conv_id ORDER BY win) AS next, count(*) OVER (PARTITION BY conv_id) AS wins
-      FROM w GROUP BY conv_id, win),
-p AS (SELECT w.*, CASE WHEN leads THEN wins WHEN next IS NOT NULL AND stop - upto + tokens <= 256 THEN 2 ELSE 1 END AS times
-      FROM w JOIN e ON w.conv_id IS NOT DISTINCT FROM e.conv_id AND w.win = e.win)
+g AS (SELECT conv_id, win, sum(tokens) AS size, max(upto) AS stop, any_value(room) AS room, max(tokens) FILTER (leads) AS lead_tokens FROM w GROUP BY conv_id, win),
+h AS (SELECT * EXCLUDE lead_tokens, max(lead_tokens) OVER (PARTITION BY conv_id) AS lead_tokens,
+             coalesce(win % 2 = 1 AND lag(win) OVER o = win - 1 AND lag(size) OVER o + size <= room, false) AS back
+      FROM g WINDOW o AS (PARTITION BY conv_id ORDER BY win)),
+j AS (SELECT *, CASE WHEN back THEN win - 1
+                     WHEN win % 2 = 1 AND lead(win) OVER o % 2 = 0
+                          AND size + lead(size) OVER o + CASE WHEN lead(back, 2) OVER o THEN lead(size, 2) OVER o ELSE 0 END <= room THEN lead(win) OVER o
+                     ELSE win END AS whole
+      FROM h WINDOW o AS (PARTITION BY conv_id ORDER BY win)),
+k AS (SELECT conv_id, whole, sum(size) AS size, max(stop) AS stop, any_value(lead_tokens) AS lead_tokens FROM j GROUP BY conv_id, whole),
+e AS (SELECT conv_id, whole, stop, least(256, 1024 - coalesce(lead_tokens, 0) - lead(size) OVER o) AS history, lead(whole) OVER o AS next, count(*) OVER (PARTITION BY conv_id) AS wins
+      FROM k WINDOW o AS (PARTITION BY conv_id ORDER BY whole)),
+p AS (SELECT w.*, CASE WHEN leads THEN wins WHEN next IS NOT NULL AND e.stop - upto + tokens <= history THEN 2 ELSE 1 END AS times
+      FROM w JOIN j ON w.conv_id IS NOT DISTINCT FROM j.conv_id AND w.win = j.win
+      JOIN e ON j.conv_id IS NOT DISTINCT FROM e.conv_id AND j.whole = e.whole)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY upto)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY upto) FILTER (role = 'assistant'), '')) AS loss_sha256,
