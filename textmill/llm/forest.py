@@ -137,7 +137,8 @@ def neighbours(classes: DataFrame, trees: int, depth: int, least_prefix: int, re
     label = F.substring("signature", F.col("tree") * bytes_each + 1, F.lit(bytes_each))
     rows = classes.select("rep", "size", "signature", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
     order = ["tree", "label", "rep"]
-    ordered = materialize(rows.select("tree", label.alias("label"), "rep", "size"), "forest").repartitionByRange(*order).sortWithinPartitions(*order)
+    # Labels are cut from the stored signatures twice, for the ranges' sample and for the sort: cheaper than a copy of all.
+    ordered = rows.select("tree", label.alias("label"), "rep", "size").repartitionByRange(*order).sortWithinPartitions(*order)
     schema = "a long, b long, tree int, lag int, label binary, rep long, size long"
 
     def pair(batches):
