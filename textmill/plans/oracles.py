@@ -628,6 +628,14 @@ SELECT ord, coalesce(predicted_md5, md5('')) AS predicted_md5 FROM t_split LEFT
     "word_ngrams": _with(DOCS, _word_terms("d_docs", "x_t", True), select=_stats("x_t")),
     "char_wb_ngrams": _with(DOCS, _wb_terms("d_docs", "x_t"), select=_stats("x_t")),
     "char_ngrams": _with(DOCS, _char_terms("d_docs", "x_t"), select=_stats("x_t")),
+    "frequent_words": _with(
+        DOCS, _word_terms("d_docs", "x_t", True),
+        select=f"SELECT term, tf, df FROM ({_stats('x_t')}) ORDER BY tf DESC, term LIMIT {MAX_FEATURES['word']}",
+    ),
+    "frequent_chars": _with(
+        DOCS, _wb_terms("d_docs", "x_t"),
+        select=f"SELECT term, tf, df FROM ({_stats('x_t')}) ORDER BY tf DESC, term LIMIT {MAX_FEATURES['char']}",
+    ),
     "vocab_words": _each_task(
         _vocab("f_train", "word"),
         select="SELECT ix, term, tf, df, round(idf, 6) AS idf FROM v_word",

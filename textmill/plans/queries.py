@@ -22,11 +22,12 @@ from textmill.operators import (
     routing,
     sampling,
     tagging,
+    topk,
 )
 from textmill.plans import jobs, views
 from textmill.runtime import materialize, new_path
 from textmill.sources.records import TEXT_RECORD, load_table
-from textmill.spec import CLASSIFICATION, CONFIRMATION, ENTITIES, TAGGING
+from textmill.spec import CLASSIFICATION, CONFIRMATION, ENTITIES, MAX_FEATURES, TAGGING
 from textmill.streaming import ingest as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -483,6 +484,23 @@ def vocab_chars(spark, sf_dir):
     return _vocab_block(spark, sf_dir, "char")
 
 
+def _frequent(spark, sf_dir, block: str) -> DataFrame:
+    counts = features.term_counts(views.documents(spark, sf_dir), {block: features.FIT_GRAMS[block]})
+    return topk.top_k_exact(counts, MAX_FEATURES[block]).select("term", "tf", "df")
+
+
+@query
+def frequent_words(spark, sf_dir):
+    """The most frequent word 1-2-grams of all documents, counted for proven candidates only."""
+    return _frequent(spark, sf_dir, "word")
+
+
+@query
+def frequent_chars(spark, sf_dir):
+    """The most frequent in-word 2-5-grams of all documents, counted for proven candidates only."""
+    return _frequent(spark, sf_dir, "char")
+
+
 def _long(weights: DataFrame) -> DataFrame:
     return weights.select("task", "ord", "block", F.col("ix").cast("bigint").alias("ix"), _r("weight", "weight"))
 
