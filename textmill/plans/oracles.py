@@ -9,6 +9,7 @@ from __future__ import annotations
 from textmill.plans.queries import (
     PIVOT_CHARS,
     ROUTE_THRESHOLD,
+    RULE_CHARS,
     RULES,
     SAMPLE_SIZE,
     SEED_BALANCE,
@@ -682,6 +683,25 @@ SELECT ord,
        WHEN greatest(p, 1 - p) >= {ROUTE_THRESHOLD} THEN CASE WHEN p > 0.5 THEN 'Statement' ELSE 'Question' END
        ELSE 'escalate' END AS decision
 FROM x_score""",
+    ),
+    "route_rules": _with(
+        f"""
+x_words AS (
+  SELECT word, min(item_id)::VARCHAR AS outcome
+  FROM (SELECT item_id, unnest(regexp_extract_all(text, '[A-Za-z]+')) AS word FROM benchmark)
+  WHERE length(word) >= {RULE_CHARS} GROUP BY word),
+x_rules AS (SELECT word, outcome, row_number() OVER (ORDER BY length(word) DESC, word) AS rule FROM x_words),
+x_hits AS (
+  SELECT ord, min(rule) AS rule
+  FROM (SELECT DISTINCT doc_id AS ord, unnest(regexp_extract_all(text, '[A-Za-z]+')) AS word FROM documents)
+  JOIN x_rules USING (word) GROUP BY ord),
+x_docs AS (
+  SELECT doc_id AS ord, rule, outcome, length(text) / (length(text) + {PIVOT_CHARS}) >= {ROUTE_THRESHOLD} AS sure
+  FROM documents LEFT JOIN x_hits ON ord = doc_id LEFT JOIN x_rules USING (rule))""",
+        select="""
+SELECT ord, rule, CASE WHEN rule IS NOT NULL THEN 'rule' WHEN sure THEN 'model' ELSE 'escalate' END AS tier,
+       CASE WHEN rule IS NOT NULL THEN outcome WHEN sure THEN 'long' ELSE 'escalate' END AS decision
+FROM x_docs""",
     ),
     "near_dup_lsh": _with(
         DOCS,

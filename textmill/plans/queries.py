@@ -20,14 +20,16 @@ from textmill.operators import (
     neardup,
     report,
     routing,
+    rules as rule_op,
     sampling,
     tagging,
     topk,
 )
+from textmill.operators.indexing import global_index
 from textmill.plans import jobs, views
 from textmill.runtime import materialize, new_path
 from textmill.sources.records import TEXT_RECORD, load_table
-from textmill.spec import CLASSIFICATION, CONFIRMATION, ENTITIES, MAX_FEATURES, TAGGING
+from textmill.spec import CLASSIFICATION, CONFIRMATION, ENTITIES, MAX_FEATURES, QUESTION, TAGGING
 from textmill.streaming import ingest as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +46,8 @@ RULES = (
 )
 ROUTE_THRESHOLD = 0.75
 PIVOT_CHARS = 300
+#: Letters of a word that becomes a routing rule.
+RULE_CHARS = 8
 
 
 def query(fn: Query) -> Query:
@@ -580,6 +584,42 @@ def route(spark, sf_dir):
     return routed.select("ord", "tier", "decision")
 
 
+@query
+def route_rules(spark, sf_dir):
+    """Documents by one rule for each long word of the benchmark; the rest go to the length model."""
+    word = r"[A-Za-z]+"
+    words = (
+        load_table(spark, sf_dir, "benchmark")
+        .select("item_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(word), F.lit(0)))).alias("literal"))
+        .filter(F.length("literal") >= RULE_CHARS)
+        .groupBy("literal")
+        .agg(F.min("item_id").cast("string").alias("outcome"))
+    )
+    # The longest word decides; numbered in a sort over slices, not in one task.
+    table = materialize(global_index(words.withColumn("_short", -F.length("literal")), ["_short", "literal"], "rule", 1), "rules")
+    bounds = [F.concat(F.lit(b), F.lit("[A-Za-z]"), F.lit(")")) for b in ("(?<!", "(?!")]
+    table = table.select("rule", "literal", F.concat(bounds[0], "literal", bounds[1]).alias("pattern"), "outcome")
+    p = F.length("text") / (F.length("text") + F.lit(PIVOT_CHARS))
+    scored = views.documents(spark, sf_dir).select(
+        "ord", "text", F.lit("long").alias("predicted"), p.alias("probability")
+    )
+    return rule_op.route_by_rules(scored, table, ROUTE_THRESHOLD).select("ord", "rule", "tier", "decision")
+
+
+@query
+def route_trained(spark, sf_dir):
+    """Question turns of the test part by rule, then by the trained classifier's probability."""
+    split = _balanced_split(spark, sf_dir)
+    docs = split.filter(F.col("task") == QUESTION.name).drop("task")
+    scored = _test_scores(docs, docs.filter(F.col("split") == "train"))
+    table = spark.createDataFrame(
+        [(n, None, pattern, outcome) for n, (pattern, outcome) in enumerate(RULES)],
+        "rule bigint, literal string, pattern string, outcome string",
+    )
+    routed = rule_op.route_by_rules(scored, table, ROUTE_THRESHOLD)
+    return routed.select("ord", "label", "rule", "tier", "decision")
+
+
 # ------------------------------------------------------------ near duplicates, diversity
 
 
