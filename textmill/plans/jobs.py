@@ -9,7 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textmill.functions import tags as tag_fn
 from textmill.operators import classify, clean, features, neardup, report, sampling, tagging
+from textmill.operators.ledger import KeyLedger
 from textmill.runtime import materialize
 from textmill.sources import artifacts, records
 from textmill.spec import JobSpec, TaskSpec
@@ -47,6 +49,18 @@ def refine(raw: DataFrame, spec: JobSpec, near_duplicates: bool = False) -> Refi
     return Refined(cleaned, _report(cleaned, spec), balance_and_split(cleaned, spec))
 
 
+def refine_batch(raw: DataFrame, spec: JobSpec, ledger: KeyLedger, batch: int) -> DataFrame:
+    """Cleaned records of one batch without those that it or an earlier batch already brought.
+
+    Batches in the order of their records give what `refine` cleans from all of them at once.
+    """
+    key = tag_fn.dedupe_key(F.col("tokens")) if spec.is_tagging else F.col("text")
+    # A missing text is a key of its own within its task.
+    in_task = F.concat(F.coalesce("task", F.lit("")), F.lit("\n"), F.coalesce(F.sha2(key, 256), F.lit("")))
+    fresh = ledger.admit(raw, in_task, batch)
+    return clean.clean_tagged(fresh) if spec.is_tagging else clean.clean_classified(fresh, spec.tasks)
+
+
 def _without_near_duplicates(df: DataFrame, spec: JobSpec) -> DataFrame:
     kept = []
     for task in spec.tasks:

@@ -637,6 +637,15 @@ SELECT ord, coalesce(predicted_md5, md5('')) AS predicted_md5 FROM t_split LEFT
         DOCS, _wb_terms("d_docs", "x_t"),
         select=f"SELECT term, tf, df FROM ({_stats('x_t')}) ORDER BY tf DESC, term LIMIT {MAX_FEATURES['char']}",
     ),
+    "refine_batches": _with(
+        RAW,
+        f"""
+x_first AS (
+  SELECT *, CASE WHEN length(text) % 2 = 0 THEN 1 ELSE 2 END::BIGINT AS batch FROM c_raw
+  QUALIFY row_number() OVER (PARTITION BY task, text ORDER BY ord) = 1),
+x_norm AS (SELECT batch, task, ord, {_norm('text')} AS text, label FROM x_first)""",
+        select=f"SELECT batch, task, ord, label, md5(text) AS text_md5 FROM x_norm WHERE {VALID} AND text <> ''",
+    ),
     "vocab_words": _each_task(
         _vocab("f_train", "word"),
         select="SELECT ix, term, tf, df, round(idf, 6) AS idf FROM v_word",

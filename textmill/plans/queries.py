@@ -26,6 +26,7 @@ from textmill.operators import (
     topk,
 )
 from textmill.operators.indexing import global_index
+from textmill.operators.ledger import KeyLedger
 from textmill.plans import jobs, views
 from textmill.runtime import materialize, new_path
 from textmill.sources.records import TEXT_RECORD, load_table
@@ -48,6 +49,7 @@ ROUTE_THRESHOLD = 0.75
 PIVOT_CHARS = 300
 #: Letters of a word that becomes a routing rule.
 RULE_CHARS = 8
+LEDGER_BUCKETS = 8
 
 
 def query(fn: Query) -> Query:
@@ -685,6 +687,23 @@ def refine_all(spark, sf_dir):
     return stored.groupBy("task", "split", "label").agg(F.count("*").alias("rows"))
 
 
+@query
+def refine_batches(spark, sf_dir):
+    """All classification records in two batches, by odd and even length; the second is given twice."""
+    raw = views.classified(spark, sf_dir)
+    ledger = KeyLedger(spark, new_path(spark, "ledger"), LEDGER_BUCKETS)
+    late = F.coalesce(F.length("text") % 2 == 1, F.lit(True))
+    parts = []
+    for batch, rows in ((1, raw.filter(~late)), (2, raw.filter(late)), (2, raw.filter(late))):
+        # Records of both tasks may share a number; the ledger's are unique.
+        numbered = rows.withColumn("record", F.col("ord")).withColumn(
+            "ord", F.col("ord") * 2 + (F.col("task") == QUESTION.name).cast("bigint")
+        )
+        parts.append(jobs.refine_batch(numbered, CLASSIFICATION, ledger, batch).withColumn("batch", F.lit(batch).cast("bigint")))
+    kept = parts[0].unionByName(parts[2])
+    return kept.select("batch", "task", F.col("record").alias("ord"), "label", F.md5("text").alias("text_md5"))
+
+
 @query
 def train_all(spark, sf_dir):
     """The whole classification job from payload files to stored models."""
