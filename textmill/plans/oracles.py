@@ -487,6 +487,18 @@ SELECT doc_id AS ord FROM documents ORDER BY md5('{SEED_SAMPLE}|' || doc_id), do
         select="""
 SELECT batch, CASE WHEN kind <> 'list' THEN kind WHEN n = 0 THEN 'no_valid_item' ELSE 'accepted' END AS outcome, n AS accepted
 FROM (SELECT k.batch, kind, count(v.pos) AS n FROM p_kind k LEFT JOIN p_valid v USING (batch) GROUP BY ALL)""",
+    ),
+    "outcomes_stream": _with(
+        PAYLOAD,
+        select="""
+SELECT batch, CASE WHEN kind <> 'list' THEN kind WHEN n = 0 THEN 'no_valid_item' ELSE 'accepted' END AS outcome, n AS accepted
+FROM (SELECT k.batch, kind, count(v.pos) AS n FROM p_kind k LEFT JOIN p_valid v USING (batch) GROUP BY ALL)""",
+    ),
+    "rejects_stream": _with(
+        PAYLOAD,
+        select="""
+SELECT batch, pos, 'missing_keys' AS reason FROM p_items JOIN p_kind USING (batch) WHERE kind = 'list' AND quality <> 1
+UNION ALL SELECT batch, NULL, kind FROM p_kind WHERE kind <> 'list'""",
     ),
     "event_props_valid": """
 SELECT event_type, count(*) AS rows,

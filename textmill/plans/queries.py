@@ -32,6 +32,7 @@ from textmill.runtime import materialize, new_path
 from textmill.sources.records import TEXT_RECORD, load_table
 from textmill.spec import CLASSIFICATION, CONFIRMATION, ENTITIES, MAX_FEATURES, QUESTION, TAGGING
 from textmill.streaming import ingest as streams
+from textmill.streaming import outcomes as outcome_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -50,6 +51,7 @@ PIVOT_CHARS = 300
 #: Letters of a word that becomes a routing rule.
 RULE_CHARS = 8
 LEDGER_BUCKETS = 8
+FILES_PER_EPOCH = 4
 
 
 def query(fn: Query) -> Query:
@@ -234,6 +236,30 @@ def ingest_stream(spark, sf_dir):
     )
 
 
+def _outcomes_stream(spark, sf_dir) -> str:
+    """All payload files through the stream, several epochs; the second run finds nothing new."""
+    source, root, checkpoint = _write_payload_files(spark, sf_dir), new_path(spark, "sinks"), new_path(spark, "outcome-state")
+    for _ in range(2):
+        outcome_streams.ingest_outcomes_stream(
+            spark, source, root, checkpoint, CONFIRMATION.expected_keys, TEXT_RECORD, FILES_PER_EPOCH
+        )
+    return root
+
+
+@query
+def outcomes_stream(spark, sf_dir):
+    """What became of each response, as the stream stored it."""
+    stored = spark.read.parquet(f"{_outcomes_stream(spark, sf_dir)}/outcomes")
+    return stored.select("batch", "outcome", "accepted")
+
+
+@query
+def rejects_stream(spark, sf_dir):
+    """Rejected items of all responses, and responses that were rejected whole, as the stream stored them."""
+    stored = spark.read.parquet(f"{_outcomes_stream(spark, sf_dir)}/rejects")
+    return stored.select("batch", "pos", "reason")
+
+
 @query
 def dedupe_stream(spark, sf_dir):
     source, sink, checkpoint = (
