@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from textmill.operators import clean
 from textmill.plans import jobs
 from textmill.spec import CLASSIFICATION, CONFIRMATION, ENTITIES, TAGGING
 
@@ -34,6 +35,11 @@ def test_classification_job(spark, tmp_path):
     assert {(r["split"], r["label"]): r["count"] for r in split} == {
         ("train", "Affirm"): 32, ("train", "Deny"): 32, ("test", "Affirm"): 8, ("test", "Deny"): 8,
     }
+    removed = {r["task"]: r for r in spark.read.json(f"{root}/reports/removed_20240101").collect()}
+    # The item without a label never became a record.
+    assert {c: removed["confirmation"][c] for c in ("loaded", "removed_duplicates", "removed_invalid", "kept")} == {
+        "loaded": 102, "removed_duplicates": 1, "removed_invalid": 1, "kept": 100,
+    }
     lines = [r["value"] for r in spark.read.text(f"{root}/reports/confirmation_quality_report_20240101").collect()]
     assert lines[0].startswith("# confirmation") and "| rows | total | 100 |" in lines
 
@@ -77,3 +83,16 @@ def test_near_duplicates_on_request(spark):
     plain = jobs.refine(df, CLASSIFICATION).cleaned.count()
     fewer = jobs.refine(df, CLASSIFICATION, near_duplicates=True).cleaned.count()
     assert (plain, fewer) == (10, 9)
+
+
+def test_removed_rows_equal_their_own_pass(spark):
+    data = [("confirmation", i, text, label) for i, (text, label) in enumerate(
+        [(None, "Affirm"), (None, "Deny"), ("", "Deny"), ("a", "Affirm"), ("a", "Deny"), ("b", "Other"), ("b", "Deny"), ("c", None)]
+        + [(f"t{i}", ("Affirm", "Deny")[i % 2]) for i in range(20)]
+    )]
+    data += [("is_question", 100 + i, "?", "Other") for i in range(3)]
+    df = spark.createDataFrame(data, "task string, ord bigint, text string, label string")
+    got = {tuple(r) for r in jobs.refine(df, CLASSIFICATION).removed.collect()}
+    columns = ("task", "loaded", "removed_duplicates", "removed_invalid", "kept")
+    plain = clean.stage_counts(df, CLASSIFICATION.tasks).select(*columns)
+    assert got == {tuple(r) for r in plain.collect()} and ("is_question", 3, 2, 1, 0) in got

@@ -15,15 +15,23 @@ from textmill.spec import TaskSpec
 ORD = "ord"
 
 
-def dedupe_exact(df: DataFrame, key: Column, by: Sequence[str] = ()) -> DataFrame:
-    """Keep the row with the lowest `ord` per key; null keys equal each other.
+def first_rows(df: DataFrame, key: Column, by: Sequence[str] = ()) -> DataFrame:
+    """`(*by, ord, copies)`: the lowest `ord` of every key and how many rows share the key.
 
     Only (hash, ord) pairs are grouped, combined before the shuffle, so neither a long
-    text nor a key that holds most rows reaches one task. The rows themselves move once,
-    for the semi-join on the unique `ord`.
+    text nor a key that holds most rows reaches one task. Null keys equal each other.
     """
     keyed = df.select(*by, ORD, F.sha2(key, 256).alias("_key"))
-    first = keyed.groupBy(*by, "_key").agg(F.min(ORD).alias(ORD))
+    first = keyed.groupBy(*by, "_key").agg(F.min(ORD).alias(ORD), F.count("*").alias("copies"))
+    return first.drop("_key")
+
+
+def dedupe_exact(df: DataFrame, key: Column, by: Sequence[str] = (), first: DataFrame | None = None) -> DataFrame:
+    """Keep the row with the lowest `ord` per key; null keys equal each other.
+
+    The rows move once, for the semi-join on the unique `ord`. `first` may hold stored `first_rows`.
+    """
+    first = first_rows(df, key, by) if first is None else first
     return df.join(first.select(*by, ORD), [*by, ORD], "left_semi")
 
 
@@ -32,6 +40,24 @@ def dedupe_tagged(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return dedupe_exact(df, tag_fn.dedupe_key(F.col("tokens")), by)
 
 
+def removed_counts(first: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """`stage_counts` from what a job stored anyway: `first_rows` by task and the cleaned rows.
+
+    No text is read. Tasks that lost every row are listed with 0 kept. Counts of stored tables
+    stay right when a lost executor's tasks run twice, which counters kept by the tasks would not.
+    """
+    before = first.groupBy("task").agg(F.sum("copies").alias("loaded"), F.count("*").alias("_unique"))
+    after = cleaned.groupBy(F.col("task").alias("_task")).agg(F.count("*").alias("_kept"))
+    kept = F.coalesce("_kept", F.lit(0).cast("bigint"))
+    return before.join(after, F.col("task").eqNullSafe(F.col("_task")), "left").select(
+        "task",
+        "loaded",
+        (F.col("loaded") - F.col("_unique")).alias("removed_duplicates"),
+        (F.col("_unique") - kept).alias("removed_invalid"),
+        kept.alias("kept"),
+    )
+
+
 def is_valid(tasks: Sequence[TaskSpec], text: Column | None = None) -> Column:
     """The label belongs to its task and the text is not empty."""
     text = F.col("text") if text is None else text

@@ -6,7 +6,7 @@ import datetime
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions import tags as tag_fn
@@ -21,32 +21,37 @@ STEPS = ("ingest", "refine", "train", "export")
 
 @dataclass(frozen=True)
 class Refined:
-    """Cleaned records, their report and the train/test split."""
+    """Cleaned records, their report, the train/test split and how many rows each stage removed."""
 
     cleaned: DataFrame
     report: DataFrame
     split: DataFrame
+    removed: DataFrame
 
 
 def refine(raw: DataFrame, spec: JobSpec, near_duplicates: bool = False) -> Refined | None:
     """Dedupe, clean, report, balance and split all tasks of `raw` in one plan.
 
     Near duplicates are only removed on request, and within one task: the plain job
-    drops exact copies. Returns None if nothing is left after cleaning.
+    drops exact copies; `removed` counts these and invalid rows, not near ones. Returns None if nothing is left after cleaning.
     """
-    if spec.is_tagging:
-        cleaned = clean.clean_tagged(clean.dedupe_tagged(raw, by=["task"]))
-    else:
-        cleaned = clean.clean_classified(
-            clean.dedupe_exact(raw, F.col("text"), by=["task"]), spec.tasks
-        )
+    key = _dedupe_key(spec)
+    # Stored, as the counts of removed rows come from it too.
+    first = materialize(clean.first_rows(raw, key, by=["task"]), "first")
+    unique = clean.dedupe_exact(raw, key, by=["task"], first=first)
+    cleaned = clean.clean_tagged(unique) if spec.is_tagging else clean.clean_classified(unique, spec.tasks)
     # Read by the report, the class counts and every step of the split.
     cleaned = materialize(cleaned, "cleaned")
     if cleaned.isEmpty():
         return None
+    removed = clean.removed_counts(first, cleaned)
     if near_duplicates:
         cleaned = materialize(_without_near_duplicates(cleaned, spec), "distinct")
-    return Refined(cleaned, _report(cleaned, spec), balance_and_split(cleaned, spec))
+    return Refined(cleaned, _report(cleaned, spec), balance_and_split(cleaned, spec), removed)
+
+
+def _dedupe_key(spec: JobSpec) -> Column:
+    return tag_fn.dedupe_key(F.col("tokens")) if spec.is_tagging else F.col("text")
 
 
 def refine_batch(raw: DataFrame, spec: JobSpec, ledger: KeyLedger, batch: int) -> DataFrame:
@@ -54,7 +59,7 @@ def refine_batch(raw: DataFrame, spec: JobSpec, ledger: KeyLedger, batch: int) -
 
     Batches in the order of their records give what `refine` cleans from all of them at once.
     """
-    key = tag_fn.dedupe_key(F.col("tokens")) if spec.is_tagging else F.col("text")
+    key = _dedupe_key(spec)
     # A missing text is a key of its own within its task.
     in_task = F.concat(F.coalesce("task", F.lit("")), F.lit("\n"), F.coalesce(F.sha2(key, 256), F.lit("")))
     fresh = ledger.admit(raw, in_task, batch)
@@ -206,6 +211,8 @@ def _refine(spark: SparkSession, spec: JobSpec, root: str, date: str) -> str:
     if result is None:
         return "skipped"
     records.write_records(result.split, f"{root}/processed")
+    # One row per task.
+    result.removed.coalesce(1).write.mode("overwrite").json(f"{root}/reports/removed_{date}")
     for task in spec.tasks:
         rows = result.report.filter(F.col("task") == task.name).drop("task")
         artifacts.write_report(rows, task.name, f"{root}/reports", date)

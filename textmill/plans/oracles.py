@@ -658,6 +658,18 @@ x_first AS (
 x_norm AS (SELECT batch, task, ord, {_norm('text')} AS text, label FROM x_first)""",
         select=f"SELECT batch, task, ord, label, md5(text) AS text_md5 FROM x_norm WHERE {VALID} AND text <> ''",
     ),
+    "refine_removed": _with(
+        CLEAN,
+        TAGGED_CLEAN,
+        select=f"""
+SELECT task, loaded, loaded - deduped AS removed_duplicates, deduped - kept AS removed_invalid, kept
+FROM (SELECT task, count(*) AS loaded FROM c_raw GROUP BY task)
+JOIN (SELECT task, count(*) AS deduped FROM c_dedup GROUP BY task) USING (task)
+JOIN (SELECT task, count(*) AS kept FROM c_clean GROUP BY task) USING (task)
+UNION ALL
+SELECT '{ENTITIES.name}', loaded, loaded - deduped, deduped - kept, kept
+FROM (SELECT count(*) AS loaded FROM t_raw), (SELECT count(*) AS deduped FROM t_dedup), (SELECT count(*) AS kept FROM t_clean)""",
+    ),
     "vocab_words": _each_task(
         _vocab("f_train", "word"),
         select="SELECT ix, term, tf, df, round(idf, 6) AS idf FROM v_word",

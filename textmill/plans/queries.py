@@ -713,6 +713,13 @@ def refine_all(spark, sf_dir):
     return stored.groupBy("task", "split", "label").agg(F.count("*").alias("rows"))
 
 
+@query
+def refine_removed(spark, sf_dir):
+    """Rows that dedupe and cleaning removed in the refine job of both families."""
+    texts = jobs.refine(views.classified(spark, sf_dir), CLASSIFICATION).removed
+    return texts.unionByName(jobs.refine(views.tagged(spark, sf_dir), TAGGING).removed)
+
+
 @query
 def refine_batches(spark, sf_dir):
     """All classification records in two batches, by odd and even length; the second is given twice."""
