@@ -515,3 +515,17 @@ def test_copies(documents, odd, nothing):
             assert sorted(rows_of(got, "doc_id", "keep_id", "group_size", "text_sha256"), key=repr) == brute.copies(texts_of(df))
             assert got.filter("kept <> (doc_id <=> keep_id)").count() == 0
     assert exact.group_copies(nothing).count() == 0
+
+
+def test_repeated_labels_and_documents_change_no_sample(spark):
+    texts = [(i, " ".join(f"w{i}x{j}" for j in range(12 + i % 5))) for i in range(30)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id bigint, quality int")
+    many = spark.range(500).select(F.lit(3).cast("bigint").alias("doc_id"), F.lit(1).alias("quality"))
+    copies = spark.range(300).select(F.lit(3).cast("bigint").alias("doc_id"), F.lit(texts[3][1]).alias("text"))
+    plain = quality.labelled_sample(docs, labels)
+    assert quality.labelled_sample(docs.unionByName(copies), labels.unionByName(many)) == plain
+    assert len(plain) == len({r["doc_id"] for r in plain}) == 30
+    both = labels.unionByName(labels.withColumn("quality", F.lit(0)))
+    assert {r["bad"] for r in quality.labelled_sample(docs, both)} == {1}
+    assert quality.labelled_sample(docs.filter("false"), labels) == []

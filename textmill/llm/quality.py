@@ -169,19 +169,28 @@ def learn_rules(rows: list[dict]) -> list[Rule]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[dict]:
-    """About `sample` labelled rows of measures, chosen by a hash of doc_id; rows without a quality label or that fail the base rules are left out."""
+    """About `sample` labelled rows of measures, chosen by a hash of doc_id.
+
+    Rows without a quality label or that fail the base rules are left out. A doc_id with several labels has
+    its lowest; of documents that share a doc_id the one with the smallest measures counts. So a
+    repeated row changes nothing, and what is broadcast and collected stays near `sample` rows.
+    """
     labels = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").alias("_llm_id"), "quality")
-    share = sample / max(labels.count(), 1)
-    chosen = materialize(labels.filter(random_unit("label", F.col("_llm_id")) < share), "label-sample")
-    # About `sample` rows by construction, so the texts are not shuffled.
+    share = sample / max(labels.agg(F.countDistinct("_llm_id")).first()[0], 1)
+    picked = labels.filter(random_unit("label", F.col("_llm_id")) < share)
+    chosen = materialize(picked.groupBy("_llm_id").agg(F.min("quality").alias("quality")), "label-sample")
+    # About `sample` rows by construction, one per doc_id, so the texts are not shuffled.
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_llm_id"))
     described = text_statistics(joined)
     prune = random_unit("prune", F.col("doc_id")) < 1 / 3
     columns = [c.alias(name) for name, c in measures().items()]
     bad = (F.col("quality") == 0).cast("int").alias("bad")
-    # Base failures are taken out here: as a filter, the optimizer would push their long expression down.
-    rows = described.select("doc_id", *columns, bad, prune.alias("prune"), base_failed().alias("failed")).collect()
-    return [r.asDict() for r in sorted(rows) if not r["failed"]]
+    # Base failures are taken out at the end: as a filter, the optimizer would push their long expression down.
+    rows = described.select("doc_id", *columns, bad, prune.alias("prune"), base_failed().alias("failed"))
+    # Any number of documents may share a chosen doc_id; one row of each is collected.
+    one = rows.groupBy("doc_id").agg(F.min(F.struct(*[c for c in rows.columns if c != "doc_id"])).alias("_llm_row"))
+    collected = one.select("doc_id", "_llm_row.*").collect()
+    return [r.asDict() for r in sorted(collected) if not r["failed"]]
 
 
 def first_rule(rules: list[Rule]) -> Column:
