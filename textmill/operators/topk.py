@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.runtime import materialize
@@ -79,12 +79,17 @@ def _summarize(capacity: int):
 def summaries(counts: DataFrame, capacity: int) -> DataFrame:
     """`(term, tf, df, error)`: at most `capacity` counters per task and one row with its error.
 
-    `counts` holds `(term, tf)` in any number of rows; `df` counts them.
+    `counts` holds `(term, tf)` in any number of rows; `df` counts them, or sums up what `counts` has as `df`.
     """
-    rows = counts.filter(F.col("term").isNotNull()).select("term", F.col("tf").cast("bigint"), F.lit(1).cast("bigint").alias("df"))
+    rows = counts.filter(F.col("term").isNotNull()).select("term", F.col("tf").cast("bigint"), _df(counts).alias("df"))
     return rows.mapInArrow(_summarize(capacity), _SUMMARY)
 
 
+def _df(counts: DataFrame) -> Column:
+    """Documents that a row stands for."""
+    return (F.col("df") if "df" in counts.columns else F.lit(1)).cast("bigint")
+
+
 def candidates(counts: DataFrame, k: int, capacity: int) -> Candidates:
     """One pass over `counts`; what is shuffled are at most `capacity` rows per task."""
     stored = materialize(summaries(counts, capacity), "summaries")
@@ -101,8 +106,8 @@ def candidates(counts: DataFrame, k: int, capacity: int) -> Candidates:
 def top_k_exact(counts: DataFrame, k: int, capacity: int | None = None) -> DataFrame:
     """`(term, tf, df)` of the k terms with the largest sum of `tf`, ties in term order.
 
-    `counts` holds one row `(term, tf)` per term and document, `tf` above 0; it is computed
-    up to twice per try. Rows without a term count for nothing, an empty table gives an empty one,
+    `counts` holds one row `(term, tf)` per term and document, `tf` above 0, or sums `(term, tf, df)` of some documents
+    each; it is computed up to twice per try. Rows without a term count for nothing, an empty table gives an empty one,
     fewer than k terms give all. Repeated rows add up. If no summary proves its candidates (flat
     counts), every term is grouped.
     """
@@ -125,7 +130,7 @@ def _only(counts: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def _grouped(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("term").agg(F.sum("tf").cast("bigint").alias("tf"), F.count("*").alias("df"))
+    return counts.groupBy("term").agg(F.sum("tf").cast("bigint").alias("tf"), F.sum(_df(counts)).alias("df"))
 
 
 def _first(stats: DataFrame, k: int) -> DataFrame:
