@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from textmill.functions import tags as tag_fn
 from textmill.operators import clean, report, sampling
 from textmill.spec import CLASSIFICATION, ENTITIES
 
@@ -164,3 +165,27 @@ def test_ner_statistics(spark):
     df = spark.createDataFrame([("t", 1, ["a", "b"], ["B-X", "I-X"]), ("t", 2, ["c"], ["O"])], TAGGED)
     got = {r["key"]: r["value"] for r in report.ner_statistics(df).collect()}
     assert got["X"] == 1 and got["share_without_entity"] == 0.5 and got["median_length"] == 1.5
+
+
+def test_clean_tagged_against_expressions(spark, monkeypatch):
+    monkeypatch.setattr(clean, "TOKENS", 5)
+    rows = [
+        (1, "t", ["ab", None, "", "é😀x"], ["B-X", "O", "B-Y", "B-Z"]),
+        (2, "t", ["abc", "d"], ["I-X"]),
+        (3, "t", ["ab"], ["O", "B-X"]),
+        (4, "t", ["ab", "cd", "e"], [None, "B-", "odd"]),
+        (5, "t", [], []),
+        (6, None, ["a"], []),
+        (7, "t", None, ["O"]),
+        (8, "t", ["a"], None),
+        (None, "t", ["\u0000a", "B"] * 9, ["B-B-", "b-x"] * 9),
+    ]
+    df = spark.createDataFrame(rows, "ord bigint, task string, tokens array<string>, tags array<string>").repartition(2)
+    both = df.filter("tokens is not null and tags is not null")
+    pair = F.col("tokens"), F.col("tags")
+    want = both.select("ord", "task", tag_fn.char_tokens(*pair).alias("tokens"), tag_fn.char_tags(*pair).alias("tags"))
+    got = clean.clean_tagged(df)
+    assert got.columns == want.columns
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    assert clean.clean_tagged(df.limit(0)).count() == 0
+    assert "transform" not in got._jdf.queryExecution().executedPlan().toString()
