@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from textmill.llm.common import blocks
 from textmill.llm.graph import components, extend
-from textmill.runtime import materialize
+from textmill.runtime import holding, materialize
 from textmill.setjoin import COUNTED, SET_COLUMNS, SET_SCHEMA, frequent_members, open_pairs, order_table, set_columns
 
 SHINGLE_WORDS = 5
@@ -219,16 +219,6 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).filter("doc_id IS NOT NULL AND text IS NOT NULL")
 
 
-def _holding(texts: DataFrame, ends: DataFrame) -> DataFrame:
-    """The `texts` of the ids `ends`. A bitmap of their hashes, 2 MB at any size, keeps most of the others out of the shuffle."""
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 24))
-    spot, bit = F.floor(place / 32768), (place % 32768).cast("int")
-    maps = ends.groupBy(spot.alias("_spot")).agg(F.bitmap_construct_agg(bit).alias("_map"))
-    marked = texts.withColumns({"_spot": spot, "_bit": bit}).join(F.broadcast(maps), "_spot")
-    byte = F.conv(F.hex(F.expr("substring(_map, _bit div 8 + 1, 1)")), 16, 10).cast("int")
-    return marked.filter(F.getbit(byte, F.col("_bit") % 8) == 1).select(texts.columns).join(ends.hint("merge"), "doc_id", "left_semi")
-
-
 def prefixes(docs: DataFrame, classes: DataFrame, order: tuple[np.ndarray, np.ndarray], width: int, percent: int) -> DataFrame:
     """`(rep, size, xs, bits…)`: the first shingles of each class, those that few texts have first, and its bitmap."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
@@ -279,7 +269,7 @@ def near_components(
     )
     ends = candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).distinct()
     # Where rows repeat a doc_id, any one of their texts stands for it in the forest.
-    texts = _holding(_texts(docs), ends)
+    texts = holding(_texts(docs), ends, "doc_id")
     repeated = not usable.groupBy("doc_id").count().filter("count > 1").isEmpty()
     if repeated:
         texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
@@ -304,7 +294,7 @@ def near_components(
     lists = materialize(lists.select("rep", F.coalesce("component", "rep").alias("component"), *SET_COLUMNS), "prefixes")
     pairs = materialize(open_pairs(lists, percent / 100), "open-pairs")
     ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = _holding(_texts(docs), ends)
+    texts = holding(_texts(docs), ends, "doc_id")
     # Here every text of a repeated doc_id is compared.
     texts = materialize(texts.distinct() if repeated else texts, "open-texts")
     linked = materialize(extend(found, compare(pairs, texts, width).filter(_linked(percent)).select("a", "b")), "components")
