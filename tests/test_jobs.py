@@ -4,6 +4,7 @@ import pytest
 
 from textmill.operators import clean
 from textmill.plans import jobs
+from textmill.sources import records
 from textmill.spec import CLASSIFICATION, CONFIRMATION, ENTITIES, TAGGING
 
 
@@ -96,3 +97,11 @@ def test_removed_rows_equal_their_own_pass(spark):
     columns = ("task", "loaded", "removed_duplicates", "removed_invalid", "kept")
     plain = clean.stage_counts(df, CLASSIFICATION.tasks).select(*columns)
     assert got == {tuple(r) for r in plain.collect()} and ("is_question", 3, 2, 1, 0) in got
+
+
+def test_written_records_are_compressed(spark, tmp_path):
+    rows = spark.createDataFrame([(1, ["a", "b"] * 500, ["O", "I-PROJ"] * 500, "t", "train")], "ord bigint, tokens array<string>, tags array<string>, task string, split string")
+    records.write_records(rows, str(tmp_path / "out"))
+    files = [p for p in (tmp_path / "out").rglob("part-*")]
+    assert files and sum(p.stat().st_size for p in files) < 2_000
+    assert spark.read.schema(rows.schema).json(str(tmp_path / "out")).collect() == rows.collect()
