@@ -4,10 +4,12 @@ from collections import Counter, defaultdict
 
 import brute
 import corpus_pipeline as pipeline
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from textmill.llm import mixing
-from textmill.runtime import materialize
+from textmill.runtime import BATCH_BYTES, MOST_BATCH_BYTES, bound_batches, materialize
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -81,3 +83,31 @@ def test_stages_on_odd_rows(spark, odd):
         for name, stage in pipeline.STAGES:
             rows = materialize(stage(spark, rows, SF_DIR), f"odd-{name}")
         assert empty == rows.isEmpty()
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    """Texts go to Python workers in batches of some bytes, however many rows that is; a longer text goes alone."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([sum(map(len, batch.column(1).to_pylist()))])], ["n", "size"])
+
+    session = spark.newSession()
+    n_letters = F.when(F.col("id") == 7, 3 * MOST_BATCH_BYTES).otherwise(20_000).cast("int")
+    docs = session.range(1_000, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), n_letters).alias("text"))
+    docs = materialize(docs, "test-long").coalesce(1)
+    found = docs.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r["n"] for r in found) == 1_000 and sum(r["size"] for r in found) == 999 * 20_000 + 3 * MOST_BATCH_BYTES
+    longest = max(found, key=lambda r: r["size"])
+    assert longest["size"] < 4 * MOST_BATCH_BYTES
+    assert all(r["size"] <= MOST_BATCH_BYTES + 20_000 for r in found if r is not longest)
+
+
+def test_batches_keep_the_bound_of_the_session(spark):
+    session = spark.newSession()
+    session.conf.set(BATCH_BYTES, "1234567")
+    bound_batches(session)
+    assert session.conf.get(BATCH_BYTES) == "1234567"
+    fresh = spark.newSession()
+    bound_batches(fresh)
+    assert fresh.conf.get(BATCH_BYTES) == str(MOST_BATCH_BYTES)

@@ -39,8 +39,8 @@ LATIN_END = "\u0250"
 END_ID = 2
 #: The string that the vocabulary file takes for one id.
 SPECIAL = "<|endoftext|>"
-#: Bytes of text of a block, or a single longer text.
-BLOCK_BYTES = 4 << 20
+#: Bytes of text of a block, or a single longer text. Larger ones take memory and no less time.
+BLOCK_BYTES = 1 << 20
 #: Growth of the first prices with length (one long piece is worth more than short ones that fill as much), fall of the prices, and configurations of a pricing.
 POWER, RATE, MOST_CONFIGURATIONS = 1.1, 0.2, 32
 #: Least share of a length's count that a pricing covers; with many lengths the share is larger, so that the pricings stay about as many.
