@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,3 +190,13 @@ def test_clean_tagged_against_expressions(spark, monkeypatch):
     assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
     assert clean.clean_tagged(df.limit(0)).count() == 0
     assert "transform" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_few_tokens_are_cut_at_a_time():
+    rows = [["abcdef"] * 400] * 300 + [["ab"] * 50_000, []]
+    batch = pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.string())), pa.array([["O"] * len(r) for r in rows], pa.list_(pa.string()))], ["tokens", "tags"])
+    parts = list(clean._parts(batch))
+    assert sum(p.num_rows for p in parts) == 302
+    cut = [clean._characters(*p.columns) for p in parts]
+    assert sum(len(tokens.flatten()) for tokens, _ in cut) == 300 * 2_400 + 100_000
+    assert all(p.num_rows == 1 or tokens.nbytes + tags.nbytes < 2 << 20 for p, (tokens, tags) in zip(parts, cut))
