@@ -7,6 +7,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from textmill.operators import classify, routing, tagging
+from textmill.plans import jobs
 from textmill.sources import artifacts
 from textmill.spec import ENTITIES
 
@@ -52,6 +53,19 @@ def test_classifier_against_newton(spark, tmp_path):
     assert [r["predicted"] for r in unlabelled.collect()] == ["yes" if q > 0.5 else "no" for q in p]
 
 
+def test_training_merges_partitions_of_few_bytes(spark, tmp_path, monkeypatch):
+    given, train = [], classify.train_classifier
+    monkeypatch.setattr(classify, "train_classifier", lambda rows, **kw: given.append(kw.get("partitions")) or train(rows, **kw))
+    texts = [(i, "yes sure of course" if i % 2 else "no never not", "Affirm" if i % 2 else "Deny") for i in range(20)]
+    docs = spark.createDataFrame(texts, "ord bigint, text string, label string").repartition(8)
+    scored = jobs.train_text_task(docs, docs)[2]
+    assert given == [1]
+    assert [r["ord"] for r in scored.filter("label = predicted").orderBy("ord").collect()] == list(range(20))
+    spark.range(20_000).write.parquet(str(tmp_path / "t"))
+    monkeypatch.setattr(classify, "PARTITION_BYTES", 1_000)
+    assert classify.partitions_for(spark.read.parquet(str(tmp_path / "t"))) > 10
+
+
 def _report(spark, pairs):
     df = spark.createDataFrame(pairs, "label string, predicted string")
     out = classify.classification_report(classify.confusion(df)).collect()
